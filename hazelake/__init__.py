@@ -1,0 +1 @@
+"""Air-quality readings on Spark: cleaning, partitioned storage and summaries."""

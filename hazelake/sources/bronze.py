@@ -89,9 +89,9 @@ def snapshot_at(spark: SparkSession, path: str) -> Snapshot:
 def _file_layout(spark: SparkSession, path: str) -> str:
     """Layout of a single file by its first two lines; whatever is not certain is a ``document``."""
     line = F.col("value")
-    record = line.startswith("{") & F.try_parse_json(line).isNotNull()
-    lines = spark.read.text(path).select(F.left(line, F.lit(4)).alias("start"), record.alias("record"))
-    head = lines.head(2)
+    record = line.startswith("{") & F.json_object_keys(line).isNotNull()
+    lines = spark.read.option("lineSep", "\n").text(path)
+    head = lines.select(F.left(line, F.lit(4)).alias("start"), record.alias("record")).head(2)
     if head and head[0].record:
         return LINES
     if [row.start for row in head] == ["[", "  {"]:

@@ -58,16 +58,15 @@ def complete_pages(
     """
     size = F.coalesce(F.size("data"), F.lit(0))
     short = F.min(F.when(size < limit, F.col("offset")))
-    run_cols = list(run_cols)
     if not run_cols:
         end = pages.agg(short.alias("_end")).scalar()
         return pages.filter(end.isNull() | (F.col("offset") <= end))
-    ends = pages.groupBy(*run_cols).agg(short.alias("_end")).filter(F.col("_end").isNotNull())
-    match = [pages[name].eqNullSafe(ends[name]) for name in run_cols]
-    bounded = pages.join(ends, match, "left").filter(
-        F.col("_end").isNull() | (F.col("offset") <= F.col("_end"))
-    )
-    return bounded.select(*[pages[name] for name in pages.columns])
+    runs = [F.col(name).alias(f"_{name}") for name in run_cols]
+    ends = pages.groupBy(*runs).agg(short.alias("_end")).filter(F.col("_end").isNotNull())
+    same_run = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in run_cols]
+    bounded = pages.join(ends, same_run, "left")
+    kept = bounded.filter(F.col("_end").isNull() | (F.col("offset") <= F.col("_end")))
+    return kept.select(*pages.columns)
 
 
 def tag_request_key(docs: DataFrame, key: Column, name: str = "location_id") -> DataFrame:

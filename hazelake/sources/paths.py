@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,21 +27,36 @@ def file_listing(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "modificationTime", "length")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="hazelake-")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, not yet existing folder below the shared folder the cluster names.
 
-    Only where ``spark.checkpoint.dir`` is unset, as in local tests, is a temporary folder made and
-    set for the session.
+    Only a local session, where the setting is usually absent, falls back to a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="hazelake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
+        base = _local_folder()
     return child(base, "hazelake", f"{name}-{uuid.uuid4().hex}")
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(str(path))
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``."""
+    file_system, hadoop_path = _file_system(spark, path)
+    return file_system.exists(hadoop_path) and len(file_system.listStatus(hadoop_path)) > 0
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this library staged, on whichever file system it lies."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system, hadoop_path = _file_system(spark, path)
     file_system.delete(hadoop_path, True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hazelake.operators.rows import one_per_reading
 from hazelake.operators.standardize import with_date_columns, with_risk
 from hazelake.schemas import PARTITION_COLUMNS, SILVER, SILVER_COLUMNS
-from hazelake.sources.paths import remove_folder, shared_folder
+from hazelake.sources.paths import has_files, remove_folder, shared_folder
 
 
 def write_partitioned(
@@ -87,6 +87,10 @@ def merge_silver(df: DataFrame, path: str) -> int:
     if span["first"] is None:
         remove_folder(spark, fresh_path)
         return 0
+    if not has_files(spark, path):
+        rows = write_silver(fresh, path)
+        remove_folder(spark, fresh_path)
+        return rows
     touched = fresh.select(*PARTITION_COLUMNS).distinct()
     # The span prunes the listing of the old dataset, the semi-join keeps exactly the touched days.
     old = read_silver(spark, path, span["first"], span["last"])
