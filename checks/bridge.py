@@ -22,16 +22,17 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     divisors = [float(divisor) for _, divisor in POLLUTANTS]
     event, k, ts = F.col("event_id"), F.col("k"), F.col("ts")
     kind = F.col("event_type")
-    day = F.date_format(ts, "yyyy-MM-dd")
-    hour = F.date_format(ts, "yyyy-MM-dd'T'HH:00:00")
+    stamp = ts.cast("string")
+    day = F.substring(stamp, 1, 10)
+    hour = F.concat(day, F.lit("T"), F.substring(stamp, 12, 2), F.lit(":00:00"))
     date = (
         F.when(kind == "view", day)
         .when(kind == "click", F.concat(hour, F.lit("Z")))
         .when(kind == "signup", F.concat(hour, F.lit("+08:00")))
-        .when(kind == "purchase", F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+        .when(kind == "purchase", F.substring(stamp, 1, 19))
         .when(k < 30, F.lit("bad-date"))
         .when(k < 60, F.lit(None))
-        .when(k < 80, F.date_format(ts, "HH:mm"))
+        .when(k < 80, F.substring(stamp, 12, 5))
         .otherwise(day)
     )
     value = F.col("value") / _pick(divisors, event)

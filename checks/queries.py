@@ -134,16 +134,23 @@ def shared_clean(spark, sf_dir):
     return clean_rows(bridge.raw_rows(spark, sf_dir), "timestamp")
 
 
+def _station_dump(spark, sf_dir) -> DataFrame:
+    """Station documents as they arrive: from a dump, whose lines spread over the cores."""
+    base = shared_folder(spark, "bronze")
+    dump = land_snapshot(bridge.stations(spark, sf_dir), base, STATION_SOURCE, _FIRST)
+    return read_bronze(spark, dump, STATION_SOURCE, LINES)
+
+
 def station_exploded(spark, sf_dir):
-    return station_rows_outer(bridge.stations(spark, sf_dir))
+    return station_rows_outer(_station_dump(spark, sf_dir))
 
 
 def station_silver(spark, sf_dir):
-    return clean_stations(bridge.stations(spark, sf_dir))
+    return clean_stations(_station_dump(spark, sf_dir))
 
 
 def both_sources(spark, sf_dir):
-    return clean_all(bridge.daily(spark, sf_dir), bridge.stations(spark, sf_dir))
+    return clean_all(bridge.daily(spark, sf_dir), _station_dump(spark, sf_dir))
 
 
 def ordered_readings(spark, sf_dir):
@@ -169,7 +176,7 @@ def overwrite_two_sources(spark, sf_dir):
     path = shared_folder(spark, "silver")
     daily = bridge.daily(spark, sf_dir)
     write_silver(clean(daily, DAILY_SOURCE), path)
-    write_silver(clean(bridge.stations(spark, sf_dir), STATION_SOURCE), path)
+    write_silver(clean(_station_dump(spark, sf_dir), STATION_SOURCE), path)
     later = daily.withColumn("concentration", number(F.col("concentration")) + 1)
     write_silver(clean(later, DAILY_SOURCE), path)
     return read_silver(spark, path)

@@ -10,21 +10,21 @@ from hazelake.dictionaries import (
     STATE_ALIASES,
     UNIT_ALIASES,
 )
-from hazelake.functions.text import lookup, place_key, text_key
+from hazelake.functions.text import lookup, lookup_name, place_key, plain_text, text_key
 
 
 def canonical_pollutant(name: Column) -> Column:
     """``pm-25``, ``PM 2.5`` → ``PM2.5``; a name without an alias is only trimmed and upper-cased."""
     return F.coalesce(
-        lookup(POLLUTANT_ALIASES, text_key(name)),
+        lookup_name(POLLUTANT_ALIASES, name),
         F.upper(F.trim(name.cast("string"))),
     )
 
 
 def unit_key(unit: Column) -> Column:
-    """Lower case, both micro signs as ``u``, ``m³`` as ``m3``, no white space."""
-    plain = F.translate(F.lower(F.trim(unit.cast("string"))), "µμ", "uu")
-    return F.regexp_replace(F.replace(plain, F.lit("m³"), F.lit("m3")), r"\s+", "")
+    """Plain text with ``m³`` as ``m3``, both micro signs as ``u`` and no white space."""
+    cubed = F.replace(plain_text(unit), F.lit("m³"), F.lit("m3"))
+    return F.translate(cubed, "µμ \t\n\x0b\f\r", "uu")
 
 
 def canonical_unit(unit: Column | None, pollutant: Column) -> Column:
@@ -42,7 +42,7 @@ def canonical_unit(unit: Column | None, pollutant: Column) -> Column:
 def canonical_state(state: Column) -> Column:
     """State or federal territory by alias, else the key in title case; blank text is null."""
     key = text_key(state)
-    return F.coalesce(lookup(STATE_ALIASES, key), F.when(key != "", F.initcap(key)))
+    return F.coalesce(lookup_name(STATE_ALIASES, state), F.when(key != "", F.initcap(key)))
 
 
 def state_from_place(place: Column) -> Column:

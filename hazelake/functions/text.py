@@ -16,11 +16,25 @@ def lookup(mapping: Mapping, key: Column) -> Column:
     return map_literal(mapping)[key]
 
 
+def plain_text(text: Column) -> Column:
+    """Trimmed of spaces and lower case."""
+    return F.lower(F.trim(text.cast("string")))
+
+
 def text_key(text: Column) -> Column:
-    """Lookup key of a name: trimmed, lower case, each run of blanks, hyphens and underscores one space."""
-    return F.regexp_replace(F.lower(F.trim(text.cast("string"))), r"[\s_-]+", " ")
+    """Lookup key of a name: plain text with each run of blanks, hyphens and underscores one space."""
+    return F.regexp_replace(plain_text(text), r"[\s_-]+", " ")
 
 
 def place_key(text: Column) -> Column:
     """Like :func:`text_key`, but hyphens and underscores stay."""
-    return F.regexp_replace(F.lower(F.trim(text.cast("string"))), r"\s+", " ")
+    return F.regexp_replace(plain_text(text), r"\s+", " ")
+
+
+def lookup_name(aliases: Mapping, text: Column) -> Column:
+    """Canonical name of a text by its key.
+
+    An alias is its own key, so plain text that is one already is found without building the key; only
+    other spellings pay for the regular expression.
+    """
+    return F.coalesce(lookup(aliases, plain_text(text)), lookup(aliases, text_key(text)))

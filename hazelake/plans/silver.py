@@ -51,10 +51,12 @@ def clean_daily(df: DataFrame) -> DataFrame:
         reading_time(F.col("date")).alias("observed_at"),
         number(F.col("concentration")).alias("reading_value"),
     )
+    # A filter on the parsed time would be pushed below the projection and parse every text a second
+    # time. The count drops the one group per pollutant that unreadable times fall into instead.
     kept = (
-        readings.filter(F.col("observed_at").isNotNull())
-        .groupBy("pollutant", "observed_at")
-        .agg(F.max("reading_value").alias("reading_value"))
+        readings.groupBy("pollutant", "observed_at")
+        .agg(F.max("reading_value").alias("reading_value"), F.count("observed_at").alias("timed"))
+        .filter(F.col("timed") > 0)
     )
     known = {
         "source": F.lit(DAILY_SOURCE),

@@ -7,43 +7,45 @@ the schema also saves the inference pass over the files and keeps unused fields
 
 from pyspark.sql import types as T
 
-DAILY_BRONZE = T.StructType.fromDDL("date STRING, pollutant STRING, concentration STRING")
-
-STATION_BRONZE = T.StructType.fromDDL(
-    """
-    location_id STRING,
-    results ARRAY<STRUCT<
-        id: STRING,
-        name: STRING,
-        locality: STRING,
-        country: STRUCT<name: STRING>,
-        coordinates: STRUCT<latitude: STRING, longitude: STRING>,
-        datetimeFirst: STRUCT<utc: STRING>,
-        datetimeLast: STRUCT<utc: STRING>,
-        sensors: ARRAY<STRUCT<parameter: STRUCT<name: STRING, units: STRING>>>
-    >>
-    """
+
+def _record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+_TEXT, _DOUBLE, _INT = T.StringType(), T.DoubleType(), T.IntegerType()
+
+DAILY_BRONZE = _record(date=_TEXT, pollutant=_TEXT, concentration=_TEXT)
+
+_SENSOR = _record(parameter=_record(name=_TEXT, units=_TEXT))
+_STATION = _record(
+    id=_TEXT,
+    name=_TEXT,
+    locality=_TEXT,
+    country=_record(name=_TEXT),
+    coordinates=_record(latitude=_TEXT, longitude=_TEXT),
+    datetimeFirst=_record(utc=_TEXT),
+    datetimeLast=_record(utc=_TEXT),
+    sensors=T.ArrayType(_SENSOR),
 )
+STATION_BRONZE = _record(location_id=_TEXT, results=T.ArrayType(_STATION))
 
-SILVER = T.StructType.fromDDL(
-    """
-    source STRING,
-    source_location_id STRING,
-    location_name STRING,
-    state STRING,
-    country STRING,
-    latitude DOUBLE,
-    longitude DOUBLE,
-    pollutant STRING,
-    unit STRING,
-    reading_value DOUBLE,
-    observed_at TIMESTAMP,
-    observed_date DATE,
-    year INT,
-    month INT,
-    day INT,
-    health_risk_category STRING
-    """
+SILVER = _record(
+    source=_TEXT,
+    source_location_id=_TEXT,
+    location_name=_TEXT,
+    state=_TEXT,
+    country=_TEXT,
+    latitude=_DOUBLE,
+    longitude=_DOUBLE,
+    pollutant=_TEXT,
+    unit=_TEXT,
+    reading_value=_DOUBLE,
+    observed_at=T.TimestampType(),
+    observed_date=T.DateType(),
+    year=_INT,
+    month=_INT,
+    day=_INT,
+    health_risk_category=_TEXT,
 )
 SILVER_COLUMNS = SILVER.fieldNames()
 
