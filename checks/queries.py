@@ -130,8 +130,16 @@ def daily_silver(spark, sf_dir):
     return clean_daily(bridge.daily(spark, sf_dir))
 
 
+def _raw_table(spark, sf_dir) -> DataFrame:
+    """Raw rows as a table, so that the plan under test starts at a scan."""
+    rows = bridge.raw_rows(spark, sf_dir)
+    path = shared_folder(spark, "raw")
+    write_partitioned(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def shared_clean(spark, sf_dir):
-    return clean_rows(bridge.raw_rows(spark, sf_dir), "timestamp")
+    return clean_rows(_raw_table(spark, sf_dir), "timestamp")
 
 
 def _station_dump(spark, sf_dir) -> DataFrame:
@@ -184,7 +192,7 @@ def overwrite_two_sources(spark, sf_dir):
 
 def merge(spark, sf_dir):
     path = shared_folder(spark, "silver")
-    rows = bridge.raw_rows(spark, sf_dir)
+    rows = _raw_table(spark, sf_dir)
     early = F.col("longitude") < 4
     write_silver(clean_rows(rows.filter(early), "timestamp"), path)
     merge_silver(clean_rows(rows.filter(~early), "timestamp"), path)
