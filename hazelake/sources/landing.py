@@ -15,7 +15,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
     A page holds at most :data:`PAGE_LIMIT` records, which bounds the text of a row.
     """
-    pages = spark.read.option("wholetext", True).text(str(path))
+    pages = spark.read.text(str(path), wholetext=True)
     return pages.select(
         F.col("run").cast("string"), F.col("offset").cast("long"), F.col("value").alias("body")
     )
@@ -43,8 +43,13 @@ def parse_pages(pages: DataFrame, record: T.StructType = DAILY_BRONZE) -> DataFr
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
-    """The records of all pages as one bag of rows."""
-    return pages.select(F.explode("data").alias("record")).select("record.*")
+    """The records of all pages as one bag of rows.
+
+    The outer generator spares the size test Spark would add below an inner one, which would parse
+    every page's text once more.
+    """
+    records = pages.select(F.explode_outer("data").alias("record"))
+    return records.filter(F.col("record").isNotNull()).select("record.*")
 
 
 def complete_pages(
