@@ -1 +1,49 @@
 """Air-quality readings on Spark: cleaning, partitioned storage and summaries."""
+
+from hazelake.operators.rows import (
+    one_per_reading,
+    rejected_daily_rows,
+    trailing_range,
+    valid_rows,
+)
+from hazelake.operators.standardize import (
+    with_pollutant_and_unit,
+    with_risk,
+    with_state,
+    with_time_columns,
+)
+from hazelake.plans.jobs import ingest, ingest_latest, run
+from hazelake.plans.session import create_session
+from hazelake.plans.silver import clean, clean_all, clean_daily, clean_rows, clean_stations
+from hazelake.sources.bronze import land_snapshot, latest_snapshot, read_bronze, read_json
+from hazelake.sources.silver import merge_silver, read_silver, write_partitioned, write_silver
+from hazelake.streaming.snapshots import ingest_stream
+
+__all__ = [
+    "clean",
+    "clean_all",
+    "clean_daily",
+    "clean_rows",
+    "clean_stations",
+    "create_session",
+    "ingest",
+    "ingest_latest",
+    "ingest_stream",
+    "land_snapshot",
+    "latest_snapshot",
+    "merge_silver",
+    "one_per_reading",
+    "read_bronze",
+    "read_json",
+    "read_silver",
+    "rejected_daily_rows",
+    "run",
+    "trailing_range",
+    "valid_rows",
+    "with_pollutant_and_unit",
+    "with_risk",
+    "with_state",
+    "with_time_columns",
+    "write_partitioned",
+    "write_silver",
+]

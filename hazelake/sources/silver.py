@@ -12,6 +12,11 @@ from hazelake.schemas import PARTITION_COLUMNS, SILVER, SILVER_COLUMNS
 from hazelake.sources.paths import has_files, remove_folder, shared_folder
 
 
+# Up to this many folder names, a few megabytes, are sent to every task of a merge. Beyond it Spark joins
+# by shuffle.
+_MOST_BROADCAST_PARTITIONS = 100_000
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -81,19 +86,19 @@ def merge_silver(df: DataFrame, path: str) -> int:
     fresh_path, merged_path = (shared_folder(spark, name) for name in ("fresh", "merged"))
     df.select(*SILVER_COLUMNS).write.parquet(fresh_path)
     fresh = spark.read.schema(SILVER).parquet(fresh_path)
-    span = fresh.agg(
-        F.min("observed_date").alias("first"), F.max("observed_date").alias("last")
+    touched = fresh.select(*PARTITION_COLUMNS).distinct()
+    day = F.make_date("year", "month", "day")
+    span = touched.agg(
+        F.min(day).alias("first"), F.max(day).alias("last"), F.count(F.lit(1)).alias("partitions")
     ).first()
-    if span["first"] is None:
-        remove_folder(spark, fresh_path)
-        return 0
-    if not has_files(spark, path):
+    if not span["partitions"] or not has_files(spark, path):
         rows = write_silver(fresh, path)
         remove_folder(spark, fresh_path)
         return rows
-    touched = fresh.select(*PARTITION_COLUMNS).distinct()
-    # The span prunes the listing of the old dataset, the semi-join keeps exactly the touched days.
+    # The span prunes the listing of the old dataset, the semi-join keeps exactly the touched folders.
     old = read_silver(spark, path, span["first"], span["last"])
+    if span["partitions"] <= _MOST_BROADCAST_PARTITIONS:
+        touched = F.broadcast(touched)
     stale = old.join(touched, PARTITION_COLUMNS, "left_semi").select(*SILVER_COLUMNS)
     derived = ["observed_date", "year", "month", "day", "health_risk_category"]
     union = stale.unionByName(fresh).drop(*derived)
