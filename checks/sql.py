@@ -362,7 +362,7 @@ ORACLE = {
         SELECT sized.run, sized."offset", sized.size FROM sized LEFT JOIN ends USING (run)
         WHERE last IS NULL OR sized."offset" <= last""",
     "key_tagging": """SELECT regexp_extract(url, '/([0-9]+)', 1) AS location_id, page_id,
-            length(html) AS chars FROM pages""",
+            CAST(length(html) AS INTEGER) AS chars FROM pages""",
     "trailing_range": """SELECT event_id, ts AS observed_at FROM events
         WHERE ts BETWEEN TIMESTAMP '2023-12-16 12:00:00' AND TIMESTAMP '2024-01-15 12:00:00'""",
     "reading_count": _with(f"SELECT count(*) AS readings FROM ({_silver('raw')})", _RAW),
