@@ -97,6 +97,12 @@ def test_keys_alone_and_payloads_that_cannot_be_ordered(spark):
     assert one_per_reading(mapped.select("k", "m"), ["k"]).count() == 2
 
 
+def test_zero_is_one_key_whatever_its_sign(spark):
+    frame = spark.createDataFrame([("a", 0.0, 1), ("a", -0.0, 2)], "k string, f double, n int")
+    assert [row.n for row in one_per_reading(frame, ["k", "f"]).collect()] == [2]
+    assert one_per_reading(frame.select("f", "n"), ["f"]).count() == 1
+
+
 def test_valid_rows(spark):
     frame = spark.createDataFrame(
         [("2026-05-27", "CO"), ("2026-05-27", ""), ("2026-05-27", None), ("x", "CO"), (None, None)],

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazelake.plans.silver import clean_daily, clean_stations
-from hazelake.schemas import PARTITION_COLUMNS, SILVER
+from hazelake.schemas import SILVER
+from hazelake.sources import silver as silver_sink
 from hazelake.sources.paths import child, has_files, shared_folder
 from hazelake.sources.silver import merge_silver, read_silver, write_partitioned, write_silver
 from samples import daily, documents, random_daily, rows_of, sensor, station
@@ -108,7 +109,10 @@ def test_day_range_is_a_partition_filter(spark, tmp_path, plan_of):
     assert "make_date" in plan_of(some).split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
-def test_merge_equals_cleaning_everything_at_once(spark, tmp_path):
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_merge_equals_cleaning_everything_at_once(spark, tmp_path, monkeypatch, most):
+    # Both ways of finding the touched partitions: by shuffle and by broadcast.
+    monkeypatch.setattr(silver_sink, "_MOST_BROADCAST_PARTITIONS", most)
     rows = random_daily(600)
     first, second = rows[:250], rows[250:]
     whole = rows_of(clean_daily(daily(spark, rows)))
