@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +96,25 @@ def test_station_fallbacks(spark):
     assert rows["D"].latitude is None
 
 
+def test_typed_station_documents(spark):
+    layout = """location_id bigint, results array<struct<
+        id: bigint, name: bigint, locality: string, country: struct<name: string>,
+        coordinates: struct<latitude: double, longitude: double>,
+        datetimeFirst: struct<utc: string>, datetimeLast: struct<utc: timestamp>,
+        sensors: array<struct<parameter: struct<name: string, units: string>>>>>"""
+    result = (7, 42, "penang", ("Malaysia",), (3.1, 101.7), (None,), None, [(("pm25", None),)])
+    timed = (*result[:6], (datetime(2026, 5, 27, 12),), result[7])
+    docs = spark.createDataFrame([(123, [timed]), (None, [timed]), (5, [result])], layout)
+    silver = clean_stations(docs)
+    assert types(silver.schema) == types(SILVER)
+    rows = silver.orderBy("source_location_id").collect()
+    assert [(r.source_location_id, r.location_name, r.latitude) for r in rows] == [
+        ("123", "42", 3.1),
+        ("7", "42", 3.1),
+    ]
+    assert rows_of(clean_rows(station_rows(docs), "timestamp")) == rows_of(silver)
+
+
 def test_outer_layout_keeps_empty_documents_and_stations(spark):
     docs = documents(
         spark,
