@@ -91,3 +91,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     first = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) + np.repeat(np.asarray(starts, dtype=np.int64) - first, lengths)
+
+
+def sliced(batches, rows: int):
+    """The same rows in Arrow batches of at most ``rows``, so that little of a batch is unpacked at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

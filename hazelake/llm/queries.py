@@ -1,6 +1,7 @@
 """The registered queries of the operators, each over its whole table, and their SQL where it can express them."""
 
 from hazelake.llm.common import table
+from hazelake.llm.language_id import predict_languages
 from hazelake.llm.token_counts import token_counts
 
 
@@ -8,8 +9,13 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark, sf_dir):
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_language_id": op3_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
