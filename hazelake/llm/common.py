@@ -6,6 +6,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,3 +99,28 @@ def sliced(batches, rows: int):
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def pieces_of(column, most: int = 1 << 20):
+    """UTF-8 bytes of a text column in runs of whole rows of about ``most`` bytes: ``(first row, data, offsets)``.
+
+    A null text is empty. A longer row is a run of its own.
+    """
+    binary = column.cast(pa.large_binary()).fill_null(b"")
+    bounds = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
+    data = binary.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    first = 0
+    while first < len(binary):
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + most, side="right")) - 1)
+        yield first, data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
+        first = last
+
+
+#: A side of a join is broadcast up to so many rows (each of a few dozen bytes), and only after they were counted.
+BROADCAST_ROWS = 1_000_000
+
+
+def hinted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if a count shows that it is small; else as it is, to be shuffled."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

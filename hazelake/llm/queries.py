@@ -1,8 +1,11 @@
 """The registered queries of the operators, each over its whole table, and their SQL where it can express them."""
 
 from hazelake.llm.common import table
+from hazelake.llm.decontamination import CONTAMINATION_SQL, contamination
 from hazelake.llm.language_id import predict_languages
+from hazelake.llm.mixing import MIXING_SQL, mixing_plan
 from hazelake.llm.token_counts import token_counts
+from hazelake.llm.toxicity import toxicity
 
 
 def op1_token_counts(spark, sf_dir):
@@ -13,9 +16,27 @@ def op3_language_id(spark, sf_dir):
     return predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_decontamination(spark, sf_dir):
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_source_mixing(spark, sf_dir):
+    return mixing_plan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_language_id": op3_language_id,
+    "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
+    "op9_source_mixing": op9_source_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontamination": CONTAMINATION_SQL,
+    "op9_source_mixing": MIXING_SQL,
+}
