@@ -12,7 +12,8 @@ A pre-token that stands in every document is one entry per block, so no key is h
 import re
 import zlib
 from collections.abc import Iterator
-from functools import partial
+from functools import cache, partial
+from itertools import batched
 
 import numpy as np
 import public_tokenizers
@@ -23,12 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hazelake.llm.common import only, pack, ragged, unpack
+from hazelake.llm.common import only, pack, ragged, sliced, unpack
 
 #: Raw text of a block, at most (a longer document is a block of its own).
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Distinct pre-tokens whose counts one task remembers; beyond that it starts anew and counts some again.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -84,7 +85,17 @@ class PreTokens:
         ]
 
     def sizes(self, tokens: list[str]) -> list[int]:
-        return [len(e) for e in self.tokenizer.encode_batch_fast(tokens, add_special_tokens=False)]
+        return [
+            len(e)
+            for some in batched(tokens, 4096)
+            for e in self.tokenizer.encode_batch_fast(list(some), add_special_tokens=False)
+        ]
+
+
+@cache
+def pre_tokens(path: str) -> PreTokens:
+    """One per Python worker, since a tokenizer that is let go does not give all its memory back."""
+    return PreTokens(path)
 
 
 class _Block:
@@ -157,9 +168,9 @@ class _Block:
 def _triples(batches, path: str, buckets: int, block_bytes: int):
     from pyspark import TaskContext
 
-    split, task, made = PreTokens(path), TaskContext.get().partitionId(), 0
+    split, task, made = pre_tokens(path), TaskContext.get().partitionId(), 0
     block = _Block(split)
-    for batch in batches:
+    for batch in sliced(batches, 256):
         texts = batch.column(1).fill_null("")
         sizes = pc.binary_length(texts.cast(pa.binary())).to_pylist()
         for doc_id, text, size in zip(batch.column(0).to_pylist(), texts.to_pylist(), sizes, strict=True):
@@ -172,14 +183,13 @@ def _triples(batches, path: str, buckets: int, block_bytes: int):
 
 
 def _as_batches(rows):
-    rows = list(rows)
-    for i in range(0, len(rows), 64):
-        yield pa.RecordBatch.from_pylist(rows[i : i + 64], schema=_TRIPLES)
+    for some in batched(rows, 64):
+        yield pa.RecordBatch.from_pylist(list(some), schema=_TRIPLES)
 
 
 def _partial_sums(batches, path: str):
-    split, known = PreTokens(path), {}
-    for batch in batches:
+    split, known = pre_tokens(path), {}
+    for batch in sliced(batches, 64):
         rows = batch.to_pylist()
         new = list({t for row in rows for t in row["pieces"] or () if t not in known})
         if len(known) > REMEMBERED:
