@@ -4,8 +4,11 @@ from hazelake.llm.common import table
 from hazelake.llm.decontamination import CONTAMINATION_SQL, contamination
 from hazelake.llm.language_id import predict_languages
 from hazelake.llm.mixing import MIXING_SQL, mixing_plan
+from hazelake.llm.simhash_dedup import near_duplicates as near_texts
 from hazelake.llm.token_counts import token_counts
+from hazelake.llm.token_shards import token_shards
 from hazelake.llm.toxicity import toxicity
+from hazelake.llm.vector_dedup import near_duplicates as near_vectors
 
 
 def op1_token_counts(spark, sf_dir):
@@ -16,6 +19,14 @@ def op3_language_id(spark, sf_dir):
     return predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op4_vector_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op5_simhash_dedup(spark, sf_dir):
+    return near_texts(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,12 +39,19 @@ def op9_source_mixing(spark, sf_dir):
     return mixing_plan(table(spark, sf_dir, "documents"))
 
 
+def op10_token_shards(spark, sf_dir):
+    return token_shards(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_language_id": op3_language_id,
+    "op4_vector_dedup": op4_vector_dedup,
+    "op5_simhash_dedup": op5_simhash_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op9_source_mixing": op9_source_mixing,
+    "op10_token_shards": op10_token_shards,
 }
 
 ORACLE_SQL: dict[str, str] = {
