@@ -8,6 +8,7 @@ from hazelake.llm.simhash_dedup import near_duplicates as near_texts
 from hazelake.llm.token_counts import token_counts
 from hazelake.llm.token_shards import token_shards
 from hazelake.llm.toxicity import toxicity
+from hazelake.llm.url_filter import learn_lexicon, url_verdicts
 from hazelake.llm.vector_dedup import near_duplicates as near_vectors
 
 
@@ -15,6 +16,11 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return url_verdicts(pages, learn_lexicon(pages, "html"))
+
+
 def op3_language_id(spark, sf_dir):
     return predict_languages(table(spark, sf_dir, "documents"))
 
@@ -45,6 +51,7 @@ def op10_token_shards(spark, sf_dir):
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_url_filter": op2_url_filter,
     "op3_language_id": op3_language_id,
     "op4_vector_dedup": op4_vector_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
