@@ -5,6 +5,7 @@ from hazelake.llm.decontamination import CONTAMINATION_SQL, contamination
 from hazelake.llm.language_id import predict_languages
 from hazelake.llm.mixing import MIXING_SQL, mixing_plan
 from hazelake.llm.simhash_dedup import near_duplicates as near_texts
+from hazelake.llm.substring_dedup import SUBSTRING_SQL, substring_dedup
 from hazelake.llm.token_counts import token_counts
 from hazelake.llm.token_shards import token_shards
 from hazelake.llm.toxicity import toxicity
@@ -41,6 +42,10 @@ def op7_decontamination(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_substring_dedup(spark, sf_dir):
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mixing(spark, sf_dir):
     return mixing_plan(table(spark, sf_dir, "documents"))
 
@@ -57,11 +62,13 @@ QUERIES = {
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_source_mixing": op9_source_mixing,
     "op10_token_shards": op10_token_shards,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_decontamination": CONTAMINATION_SQL,
+    "op8_substring_dedup": SUBSTRING_SQL,
     "op9_source_mixing": MIXING_SQL,
 }
