@@ -42,12 +42,11 @@ def python_fold(doc_id, folds: int = 5) -> int:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``, or a temporary one of a local session."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="hazelake-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
