@@ -119,7 +119,7 @@ def rejected(spark, sf_dir):
     rows = rejected_daily_rows(bridge.daily(spark, sf_dir))
     # Doubles print differently in different engines, so only an unreadable value is shown.
     unreadable = F.when(F.col("concentration") == "n/a", F.col("concentration"))
-    return rows.withColumn("concentration", unreadable)
+    return rows.withColumn("concentration", unreadable).drop("raw")
 
 
 def daily_projection(spark, sf_dir):
@@ -276,9 +276,7 @@ def stream_ingest(spark, sf_dir):
     base, silver = shared_folder(spark, "bronze"), shared_folder(spark, "silver")
     land_snapshot(bridge.daily(spark, sf_dir), base, DAILY_SOURCE, _FIRST)
     dumps = child(base, DAILY_SOURCE, "*.json")
-    query = ingest_stream(
-        spark, dumps, silver, DAILY_SOURCE, shared_folder(spark, "progress"), layout=LINES
-    )
+    query = ingest_stream(spark, dumps, silver, DAILY_SOURCE, shared_folder(spark, "progress"))
     query.awaitTermination()
     return read_silver(spark, child(silver, jobs.DATASET))
 

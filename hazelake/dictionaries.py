@@ -137,14 +137,7 @@ SNAPSHOT_PREFIXES = {
     STATION_SOURCE: "openaq_measurements",
 }
 
-# Station roster, page size and history window of the landing jobs.
-LOCATION_ROSTER = [
-    6289999,  # Sejati Residences Cyberjaya
-    3400978,  # Setia Eco Park
-    3331918,  # Taman Tun Dr. Ismail
-    5893160,  # KLCC
-    5894144,  # Bukit Bintang
-]
+# Page size and history window of the landing jobs.
 PAGE_LIMIT = 1000
 DAYS_PER_MONTH = 30
 HISTORY_MONTHS = 6

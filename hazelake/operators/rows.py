@@ -72,21 +72,23 @@ def _orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
-def rejected_daily_rows(df: DataFrame) -> DataFrame:
-    """Daily bronze rows the cleaning drops or cannot read a number from, with the reason.
+def rejected_daily_rows(df: DataFrame, corrupt_col: str = "_corrupt") -> DataFrame:
+    """Daily bronze rows the cleaning drops or cannot read a number from, with the reason and the raw text.
 
-    Rows with an unreadable number still reach silver, with a null value; the others do not.
+    Rows with an unreadable number still reach silver, with a null value; the others do not. The raw text is
+    that of lines that are no JSON, where the dump was read with it.
     """
     date, pollutant, value = F.col("date"), F.col("pollutant"), F.col("concentration")
+    raw = F.col(corrupt_col) if corrupt_col in df.columns else F.lit(None).cast("string")
     reason = (
-        F.when(pollutant.isNull(), "missing pollutant")
+        F.when(raw.isNotNull(), "malformed record")
+        .when(pollutant.isNull(), "missing pollutant")
         .when(date.isNull(), "missing date")
         .when(reading_time(date).isNull(), "unreadable date")
         .when(value.isNotNull() & number(value).isNull(), "unreadable value")
     )
-    return df.select("date", "pollutant", "concentration", reason.alias("reason")).filter(
-        F.col("reason").isNotNull()
-    )
+    rows = df.select("date", "pollutant", "concentration", reason.alias("reason"), raw.alias("raw"))
+    return rows.filter(F.col("reason").isNotNull())
 
 
 def trailing_bounds(as_of: datetime, months_back: int = HISTORY_MONTHS) -> tuple[datetime, datetime]:
@@ -94,6 +96,11 @@ def trailing_bounds(as_of: datetime, months_back: int = HISTORY_MONTHS) -> tuple
     return as_of - timedelta(days=months_back * DAYS_PER_MONTH), as_of
 
 
+def _session_time(moment: datetime) -> Column:
+    """A time as text, so that one without a zone is read in the session's zone and not in the driver's."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+
+
 def trailing_range(
     df: DataFrame,
     as_of: datetime,
@@ -105,9 +112,9 @@ def trailing_range(
     On a frame with the silver date parts the same window is also stated on them, so that a scan of
     the partitioned dataset lists only the days it needs.
     """
-    start, end = trailing_bounds(as_of, months_back)
-    rows = df.filter(F.col(time_col).between(F.lit(start), F.lit(end)))
+    start, end = (_session_time(bound) for bound in trailing_bounds(as_of, months_back))
+    rows = df.filter(F.col(time_col).between(start, end))
     if {"year", "month", "day"} <= set(df.columns) and time_col == "observed_at":
         day = F.make_date("year", "month", "day")
-        rows = rows.filter(day.between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+        rows = rows.filter(day.between(F.to_date(start), F.to_date(end)))
     return rows

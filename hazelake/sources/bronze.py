@@ -3,9 +3,10 @@
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from hazelake.dictionaries import (
     DAILY_SOURCE,
@@ -18,15 +19,22 @@ from hazelake.sources.paths import child, file_listing
 
 BRONZE_SCHEMAS = {DAILY_SOURCE: DAILY_BRONZE, STATION_SOURCE: STATION_BRONZE}
 
-# How JSON lies in a file. ``document``: one value per file, any formatting, one task per file.
-# ``indented``: an array of objects written with an indent of two, which can be split like lines.
-# ``lines``: one object per line.
+# How JSON lies in a file. ``lines``: one object per line; a line that does not parse spoils only itself.
+# ``document``: one object or array per file, any formatting, one task per file. ``indented``: an array of
+# objects written with an indent of two, which can be split like lines. Text that the latter two cannot
+# account for fails the read, so that no record is lost unseen.
 DOCUMENT, INDENTED, LINES = "document", "indented", "lines"
+LAYOUTS = (DOCUMENT, INDENTED, LINES)
+
+# Column for the text of a line that does not parse, where it is asked for.
+CORRUPT = "_corrupt"
 
 # In an array indented by two only a record of the array itself opens and closes at this depth; text
 # inside JSON strings cannot hold a raw line break.
 _RECORD_OPENS = "\n  {\n"
 _RECORD_CLOSES = "\n  }"
+# What may stand between such records.
+_BETWEEN = r"^[\s,\[\]]*(?:\{\}[\s,\[\]]*)*$"
 
 
 class Snapshot(NamedTuple):
@@ -40,63 +48,113 @@ class Snapshot(NamedTuple):
 def read_json(
     spark: SparkSession,
     path: str,
-    schema: T.StructType | str | None = None,
+    schema: T.StructType | None = None,
     layout: str = DOCUMENT,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """JSON records at ``path``; without a schema Spark infers one in an extra pass."""
-    if layout == INDENTED:
-        return _read_indented(spark, str(path), schema)
-    reader = spark.read.option("multiLine", layout == DOCUMENT)
-    return (reader.schema(schema) if schema else reader).json(str(path))
-
+    """JSON records at ``path``; without a schema Spark infers one in an extra pass.
 
-def _read_indented(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Records of an indented array, read in splits of the file instead of one task per file."""
+    With ``keep_corrupt`` the text of unreadable lines is kept in a column of its own; the other layouts have
+    none, as they fail.
+    """
     if schema is None:
-        raise ValueError("The indented layout needs a schema")
-    pieces = spark.read.option("lineSep", _RECORD_CLOSES).text(path)
-    body = F.substring_index("value", _RECORD_OPENS, -1)
+        if layout == INDENTED:
+            raise ValueError("The indented layout needs a schema")
+        return spark.read.option("multiLine", layout == DOCUMENT).option("mode", "FAILFAST").json(str(path))
+    return records(spark.read, str(path), schema, layout, keep_corrupt)
+
+
+def records(
+    reader: DataFrameReader | DataStreamReader,
+    path: str,
+    schema: T.StructType,
+    layout: str,
+    keep_corrupt: bool = False,
+) -> DataFrame:
+    """Records of the files at ``path`` through a batch or a stream reader."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"Unknown layout: {layout}")
+    if layout == LINES:
+        if not keep_corrupt:
+            return reader.schema(schema).json(path)
+        kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        return reader.schema(kept).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    if layout == DOCUMENT:
+        found = _document_records(reader.text(path, wholetext=True), schema)
+    else:
+        found = _indented_records(reader.text(path, lineSep=_RECORD_CLOSES), schema)
+    exploded = found.select(F.explode("records").alias("record")).select("record.*")
+    return exploded.withColumn(CORRUPT, F.lit(None).cast("string")) if keep_corrupt else exploded
+
+
+def _strict(text: Column, kind: T.DataType) -> Column:
+    """``text`` as one JSON value; anything else, also text after the value, fails the read."""
+    holder = T.StructType([T.StructField("value", kind)])
+    parsed = F.from_json(F.concat(F.lit('{"value":'), text, F.lit("}")), holder, {"mode": "FAILFAST"})
+    return parsed["value"]
+
+
+def _document_records(files: DataFrame, schema: T.StructType) -> DataFrame:
+    text = F.col("value")
+    start = F.left(F.ltrim(F.translate(text, "\ufeff\t\r\n", "")), F.lit(1))
+    array = F.filter(_strict(text, T.ArrayType(schema)), lambda record: record.isNotNull())
+    return files.select(
+        F.when(start == "[", array).when(start != "", F.array(_strict(text, schema))).alias("records")
+    )
+
+
+def _indented_records(pieces: DataFrame, schema: T.StructType) -> DataFrame:
+    text = F.col("value")
+    holds = text.contains(_RECORD_OPENS)
+    between = F.when(holds, F.substring_index(text, _RECORD_OPENS, 1)).otherwise(text)
+    body = F.substring_index(text, _RECORD_OPENS, -1)
+    whole = F.when(holds, F.length(between) + F.length(F.lit(_RECORD_OPENS)) + F.length(body) == F.length(text))
+    accounted = between.rlike(_BETWEEN) & F.coalesce(whole, F.lit(True))
     record = F.from_json(F.concat(F.lit("{"), body, F.lit("}")), schema)
-    return (
-        pieces.filter(F.col("value").contains(_RECORD_OPENS))
-        .select(record.alias("record"))
-        .select("record.*")
+    blank = F.from_json(F.lit("{}"), schema)
+    empty = F.array_repeat(blank, F.regexp_count(between, F.lit(r"\{\}")))
+    message = F.lit("Not an array of objects indented by two; read it with layout='document'")
+    return pieces.select(
+        F.when(~accounted, F.raise_error(message).cast(T.ArrayType(schema)))
+        .when(holds, F.concat(empty, F.array(record)))
+        .otherwise(empty)
+        .alias("records")
     )
 
 
-def read_bronze(spark: SparkSession, path: str, source: str, layout: str | None = None) -> DataFrame:
+def read_bronze(
+    spark: SparkSession, path: str, source: str, layout: str | None = None, keep_corrupt: bool = False
+) -> DataFrame:
     """A dump of the named source with its declared schema; the layout is looked up if not given."""
     layout = layout or snapshot_at(spark, path).layout
-    return read_json(spark, path, BRONZE_SCHEMAS[source], layout)
+    return read_json(spark, path, BRONZE_SCHEMAS[source], layout, keep_corrupt)
 
 
 def snapshot_at(spark: SparkSession, path: str) -> Snapshot:
     """Layout and size of the dump at ``path``."""
-    files = file_listing(spark, path).agg(
-        F.sum("length").alias("size"),
-        F.max("path").alias("last"),
-        F.max(F.element_at(F.split("path", "/"), -1).startswith("part-")).alias("parts"),
-    )
+    files = file_listing(spark, path).agg(F.sum("length").alias("size"), F.max("path").alias("last"))
     found = files.first()
     if found.size is None:
         raise FileNotFoundError(f"No files found at {path}")
     is_file = found.last.rstrip("/").endswith("/" + str(path).rstrip("/").rsplit("/", 1)[-1])
-    if is_file:
-        return Snapshot(str(path), _file_layout(spark, str(path)), found.size)
-    return Snapshot(str(path), LINES if found.parts else DOCUMENT, found.size)
-
-
-def _file_layout(spark: SparkSession, path: str) -> str:
-    """Layout of a single file by its first two lines; whatever is not certain is a ``document``."""
-    line = F.col("value")
-    record = line.startswith("{") & F.json_object_keys(line).isNotNull()
-    lines = spark.read.option("lineSep", "\n").text(path)
-    head = lines.select(F.left(line, F.lit(4)).alias("start"), record.alias("record")).head(2)
-    if head and head[0].record:
+    return Snapshot(str(path), _layout(spark, str(path), is_file), found.size)
+
+
+def _layout(spark: SparkSession, path: str, is_file: bool) -> str:
+    """Layout of a dump. A folder holds lines, whatever its files are called.
+
+    A file whose first line with text begins an object and does not consist of the brace alone holds lines.
+    One that begins like an array indented by two is read as such, and fails if it does not go on like that.
+    Everything else is a document.
+    """
+    if not is_file:
+        return LINES
+    line = F.translate("value", "\ufeff", "")
+    lines = spark.read.option("lineSep", "\n").text(path).filter(F.trim(F.translate("value", "\ufeff\r\t", "")) != "")
+    head = [row.start for row in lines.select(F.left(line, F.lit(4)).alias("start")).head(2)]
+    if head and head[0].lstrip().startswith("{") and head[0].strip() != "{":
         return LINES
-    if [row.start for row in head] == ["[", "  {"]:
-        return INDENTED
-    return DOCUMENT
+    return INDENTED if head == ["[", "  {"] else DOCUMENT
 
 
 def latest_snapshot(spark: SparkSession, bronze_base: str, source: str) -> Snapshot:
@@ -123,7 +181,7 @@ def latest_snapshot(spark: SparkSession, bronze_base: str, source: str) -> Snaps
     if newest is None:
         raise FileNotFoundError(missing)
     path = child(folder, newest["name"])
-    return Snapshot(path, _file_layout(spark, path) if newest.is_file else LINES, newest["size"])
+    return Snapshot(path, _layout(spark, path, newest.is_file), newest["size"])
 
 
 def land_snapshot(df: DataFrame, bronze_base: str, source: str, taken_at: datetime) -> str:

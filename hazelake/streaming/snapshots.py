@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hazelake.plans.jobs import DATASET
 from hazelake.plans.silver import clean, require_source
-from hazelake.sources.bronze import BRONZE_SCHEMAS, DOCUMENT
+from hazelake.sources.bronze import BRONZE_SCHEMAS, LINES, records
 from hazelake.sources.paths import child
 from hazelake.sources.silver import merge_silver
 
@@ -14,15 +14,17 @@ def stream_dumps(
     spark: SparkSession,
     bronze_path: str,
     source: str,
-    layout: str = DOCUMENT,
+    layout: str = LINES,
     max_files: int | None = None,
 ) -> DataFrame:
-    """Raw records of the files below ``bronze_path``, read as they arrive."""
-    reader = spark.readStream.schema(BRONZE_SCHEMAS[require_source(source)])
-    reader = reader.option("multiLine", layout == DOCUMENT)
+    """Raw records of the files below ``bronze_path``, read as they arrive.
+
+    The default layout is that of :func:`land_snapshot`; all layouts of :func:`read_json` can be named.
+    """
+    schema, reader = BRONZE_SCHEMAS[require_source(source)], spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(str(bronze_path))
+    return records(reader, str(bronze_path), schema, layout)
 
 
 def ingest_stream(
@@ -31,7 +33,7 @@ def ingest_stream(
     silver_base: str,
     source: str,
     checkpoint: str,
-    layout: str = DOCUMENT,
+    layout: str = LINES,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Clean all files that have arrived since the last run, then stop.

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 
+from hazelake.operators.rows import rejected_daily_rows
 from hazelake.schemas import DAILY_BRONZE, STATION_BRONZE
 from hazelake.sources.bronze import (
     DOCUMENT,
@@ -68,8 +69,7 @@ def test_indented_station_documents_nest(spark, tmp_path):
     path = dump(tmp_path / "a.json", docs, indent=2)
     assert snapshot_at(spark, path).layout == INDENTED
     read = rows_of(read_json(spark, path, STATION_BRONZE, INDENTED))
-    whole = rows_of(read_json(spark, path, STATION_BRONZE).filter("location_id is not null"))
-    assert read == whole and len(read) == 3
+    assert read == rows_of(read_json(spark, path, STATION_BRONZE)) and len(read) == 4
 
 
 def test_odd_dumps(spark, tmp_path):
@@ -134,3 +134,50 @@ def test_landed_dump_is_the_newest_and_reads_back(spark, tmp_path):
     assert rows_of(read_bronze(spark, path, "opendosm")) == rows_of(frame)
     with pytest.raises(Exception, match="exist"):
         land_snapshot(frame, str(tmp_path), "opendosm", datetime(2026, 5, 27, 1, 2, 3))
+
+
+LINE = '{"date": "2026-01-0%d", "pollutant": "no2", "concentration": "%d"}'
+TEN = [LINE % (i % 9 + 1, i) for i in range(10)]
+
+
+def test_no_record_is_lost_unseen(spark, tmp_path):
+    """Files whose first lines do not show what follows give all records, or an error."""
+
+    def file(name, text):
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(text)
+        return str(path)
+
+    def count(path, **layout):
+        return read_bronze(spark, path, "opendosm", **layout).filter("date is not null").count()
+
+    assert count(file("truncated_line.json", '{"date": "2026-\n' + "\n".join(TEN))) == 10
+    assert count(file("blank_line.json", "\n  \n" + "\n".join(TEN))) == 10
+    indented = json.dumps([json.loads(line) for line in TEN[:3]], indent=2)[:-2]
+    mixed = file("mixed.json", indented + "".join(f",\n  {line}" for line in TEN[3:]) + "\n]")
+    assert count(mixed, layout=DOCUMENT) == 10
+    with pytest.raises(Exception, match="indented by two"):
+        count(mixed)
+    for broken in ("[" + ",".join(TEN)[:-5], "\n".join(TEN)):
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            count(file("broken.json", broken), layout=DOCUMENT)
+    assert count(file("one.json", "{\n" + TEN[0][1:])) == 1
+    assert count(file("nothing.json", " \n")) == 0
+
+
+def test_a_folder_holds_lines_however_it_is_reached(spark, tmp_path):
+    folder = tmp_path / "opendosm" / "dump.json"
+    folder.mkdir(parents=True)
+    for name in ("first.txt", "second.txt"):
+        (folder / name).write_text("\n".join(TEN))
+    newest = latest_snapshot(spark, str(tmp_path), "opendosm")
+    assert newest == snapshot_at(spark, str(folder)) and newest.layout == LINES
+    assert read_bronze(spark, str(folder), "opendosm").count() == 20
+
+
+def test_text_of_a_corrupt_line_is_kept(spark, tmp_path):
+    (tmp_path / "a.json").write_text(TEN[0] + "\n{broken\n" + TEN[1])
+    rows = read_bronze(spark, str(tmp_path / "a.json"), "opendosm", keep_corrupt=True)
+    rejected = rejected_daily_rows(rows).collect()
+    assert [(row.reason, row.raw) for row in rejected] == [("malformed record", "{broken")]

@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 import random
 from datetime import datetime
 
@@ -143,3 +146,17 @@ def test_trailing_range_has_both_ends(spark):
     frame = spark.createDataFrame([(moment,) for moment in moments], "observed_at timestamp")
     assert {row.observed_at for row in trailing_range(frame, as_of).collect()} == {start, end}
     assert trailing_range(frame, as_of, months_back=0).count() == 1
+
+
+def test_trailing_range_ignores_the_zone_of_the_driver():
+    code = """
+from datetime import datetime
+from pyspark.sql import SparkSession
+from hazelake.operators.rows import trailing_range
+spark = SparkSession.builder.master("local[1]").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").getOrCreate()
+hours = spark.sql("select timestamp'2026-03-10 00:00:00' + make_interval(0, 0, 0, 0, id) as observed_at from range(24)")
+print("ROWS", trailing_range(hours, datetime(2026, 3, 10, 12)).count())
+"""
+    env = os.environ | {"TZ": "Asia/Kuala_Lumpur", "PYTHONPATH": os.getcwd()}
+    run = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=180)
+    assert "ROWS 13" in run.stdout, run.stderr[-2000:]
