@@ -30,8 +30,23 @@ from hazelake.operators.standardize import (
 )
 from hazelake.plans import jobs, summaries
 from hazelake.plans.silver import clean, clean_all, clean_daily, clean_rows, clean_stations
-from hazelake.sources.bronze import LINES, land_snapshot, latest_snapshot, read_bronze
-from hazelake.sources.landing import complete_pages, flatten_pages, parse_pages, tag_request_key
+from hazelake.schemas import DAILY_BRONZE
+from hazelake.sources.bronze import (
+    INDENTED,
+    LINES,
+    land_snapshot,
+    latest_snapshot,
+    read_bronze,
+    read_json,
+)
+from hazelake.sources.landing import (
+    complete_pages,
+    flatten_pages,
+    parse_pages,
+    readable_pages,
+    rejected_pages,
+    tag_request_key,
+)
 from hazelake.sources.paths import child, shared_folder
 from hazelake.sources.silver import merge_silver, read_silver, write_partitioned, write_silver
 from hazelake.streaming.snapshots import ingest_stream
@@ -131,11 +146,8 @@ def daily_silver(spark, sf_dir):
 
 
 def _raw_table(spark, sf_dir) -> DataFrame:
-    """Raw rows as a table, so that the plan under test starts at a scan."""
-    rows = bridge.raw_rows(spark, sf_dir)
-    path = shared_folder(spark, "raw")
-    write_partitioned(rows, path)
-    return spark.read.schema(rows.schema).parquet(path)
+    """Rows in the common raw layout."""
+    return bridge.raw_rows(spark, sf_dir)
 
 
 def shared_clean(spark, sf_dir):
@@ -228,6 +240,50 @@ def page_flatten(spark, sf_dir):
     return flatten_pages(parse_pages(pages)).select("date", "pollutant", "concentration")
 
 
+def _with_broken_pages(spark, sf_dir) -> DataFrame:
+    """Pages of which some were cut off while they landed."""
+    cut = F.when(F.col("body").startswith("["), F.expr("left(body, length(body) - 5)")).otherwise(F.lit('{"data": ['))
+    broken = F.col("offset") % 50 == 3
+    return bridge.page_bodies(spark, sf_dir).withColumn("body", F.when(broken, cut).otherwise(F.col("body")))
+
+
+def page_rejects(spark, sf_dir):
+    return rejected_pages(_with_broken_pages(spark, sf_dir)).select("run", "offset")
+
+
+def page_readable(spark, sf_dir):
+    pages = _with_broken_pages(spark, sf_dir)
+    kept = flatten_pages(parse_pages(readable_pages(pages.withColumn("run", F.col("offset") % 100))))
+    return kept.select("date", "pollutant", "concentration")
+
+
+def indented_roundtrip(spark, sf_dir):
+    """All events as arrays indented by two, the form in which dumps of a single file arrive."""
+    rows = bridge.dump_rows(spark, sf_dir)
+    fields = F.to_json(
+        F.struct(*(F.coalesce(name, F.lit("-")).alias(name) for name in ("date", "pollutant", "concentration"))),
+        {"pretty": "true"},
+    )
+    record = F.regexp_replace(F.concat(F.lit("\n"), fields), "\n", "\n  ")
+    arrays = rows.groupBy((F.col("event_id") % 16).alias("part")).agg(F.collect_list(record).alias("records"))
+    text = F.concat(F.lit("["), F.array_join("records", ","), F.lit("\n]"))
+    path = shared_folder(spark, "indented")
+    arrays.select(text.alias("value")).repartition(16).write.text(path)
+    return read_json(spark, path, DAILY_BRONZE, INDENTED)
+
+
+def observed_count(spark, sf_dir):
+    """The count that the write itself observes."""
+    rows = write_silver(shared_clean(spark, sf_dir), shared_folder(spark, "silver"))
+    return spark.range(1).select(F.lit(rows).cast("long").alias("readings"))
+
+
+def optional_columns(spark, sf_dir):
+    """Frames that lack the columns which may be missing."""
+    named = with_pollutant_and_unit(_event(spark, sf_dir, "pollutant", "location_name"))
+    return with_state(named).select("event_id", "unit", "state")
+
+
 def page_complete(spark, sf_dir):
     pages = complete_pages(bridge.sized_pages(spark, sf_dir), ["run"], limit=20)
     return pages.select("run", "offset", F.size("data").alias("size"))
@@ -332,6 +388,11 @@ QUERIES = {
     "latest_snapshot": newest_snapshot,
     "page_flatten": page_flatten,
     "page_complete": page_complete,
+    "page_rejects": page_rejects,
+    "page_readable": page_readable,
+    "indented_roundtrip": indented_roundtrip,
+    "observed_count": observed_count,
+    "optional_columns": optional_columns,
     "key_tagging": key_tagging,
     "trailing_range": trailing,
     "reading_count": reading_count,

@@ -352,6 +352,27 @@ ORACLE = {
         FROM texts, unnest(CASE WHEN event_type IN ('view', 'click') THEN [1, 2]
             WHEN event_type = 'signup' THEN [1] ELSE [] END)"""
     ),
+    "page_rejects": _with(
+        """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS run, event_id AS "offset"
+        FROM texts WHERE event_id % 50 = 3"""
+    ),
+    "page_readable": _with(
+        """SELECT date_text AS date, pollutant,
+            CASE WHEN k = 7 THEN 'n/a' WHEN k <> 13 THEN CAST(k AS VARCHAR) END AS concentration
+        FROM texts, unnest(CASE WHEN event_type IN ('view', 'click') THEN [1, 2]
+            WHEN event_type = 'signup' THEN [1] ELSE [] END)
+        WHERE event_id % 50 <> 3"""
+    ),
+    "indented_roundtrip": _with(
+        """SELECT coalesce(date_text, '-') AS date, coalesce(pollutant, '-') AS pollutant,
+            coalesce(CASE WHEN k = 7 THEN 'n/a' WHEN k <> 13 THEN CAST(k AS VARCHAR) END, '-') AS concentration
+        FROM texts"""
+    ),
+    "observed_count": _with(f"SELECT count(*) AS readings FROM ({_silver('raw')})", _RAW),
+    "optional_columns": _with(
+        f"""SELECT event_id, {_default_unit('pollutant')} AS unit, state
+        FROM (SELECT event_id, {_pollutant('pollutant')} AS pollutant, {_place('location_name')} AS state FROM texts)"""
+    ),
     "page_complete": """
         WITH sized AS (
             SELECT l_orderkey AS run, l_linenumber * 20 AS "offset", CAST(l_quantity AS INTEGER) AS size

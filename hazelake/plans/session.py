@@ -17,7 +17,6 @@ _SETTINGS = {
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _BYTES_PER_PARTITION = 256 * 1024 * 1024
-_MOST_PARTITIONS = 20_000
 
 
 def create_session(app_name: str = "hazelake", **settings: str) -> SparkSession:
@@ -41,7 +40,7 @@ def shuffle_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
     default of two hundred would be too coarse for a large dump. A value the caller has set stays.
     """
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(least, min(_MOST_PARTITIONS, -(-input_bytes // _BYTES_PER_PARTITION)))
+    wanted = max(least, -(-input_bytes // _BYTES_PER_PARTITION))
     given = spark.conf.get(_INITIAL_PARTITIONS, None)
     if given:
         yield int(given)

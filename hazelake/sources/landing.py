@@ -36,10 +36,35 @@ def page_records(body: Column, record: T.StructType = DAILY_BRONZE) -> Column:
     )
 
 
+def unreadable(body: Column) -> Column:
+    """Whether a response is neither JSON of a known shape nor empty."""
+    blank = F.coalesce(F.trim(body, F.lit(" \t\r\n")), F.lit("")).isin("", "null")
+    array = F.from_json(body, T.ArrayType(T.StringType())).isNotNull()
+    return ~blank & F.json_object_keys(body).isNull() & ~(body.rlike(r"^\s*\[") & array)
+
+
 def parse_pages(pages: DataFrame, record: T.StructType = DAILY_BRONZE) -> DataFrame:
-    """Replace the raw ``body`` of each page by its ``data`` array."""
+    """Replace the raw ``body`` of each page by its ``data`` array.
+
+    A body that does not parse fails the read: taken for an empty page it would end its run. Pages may be parted
+    by :func:`rejected_pages` first.
+    """
     kept = [name for name in pages.columns if name != "body"]
-    return pages.select(*kept, page_records(F.col("body"), record).alias("data"))
+    body, kind = F.col("body"), T.ArrayType(record)
+    message = F.concat(F.lit("Unreadable page: "), F.left(body, F.lit(200)))
+    data = F.when(unreadable(body), F.raise_error(message).cast(kind)).otherwise(page_records(body, record))
+    return pages.select(*kept, data.alias("data"))
+
+
+def rejected_pages(pages: DataFrame) -> DataFrame:
+    """The pages whose ``body`` does not parse, as they are."""
+    return pages.filter(unreadable(F.col("body")))
+
+
+def readable_pages(pages: DataFrame) -> DataFrame:
+    """The pages of runs that hold no unreadable page; the others cannot be told complete."""
+    broken = rejected_pages(pages).select(F.col("run").alias("_run")).distinct()
+    return pages.join(broken, F.col("run").eqNullSafe(F.col("_run")), "left_anti")
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:

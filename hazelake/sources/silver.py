@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from hazelake.operators.rows import one_per_reading
 from hazelake.operators.standardize import with_date_columns, with_risk
 from hazelake.schemas import PARTITION_COLUMNS, SILVER, SILVER_COLUMNS
-from hazelake.sources.paths import has_files, remove_folder, shared_folder
+from hazelake.sources.paths import child, has_files, remove_folder
 
 
 # Up to this many folder names, a few megabytes, are sent to every task of a merge. Beyond it Spark joins
 # by shuffle.
 _MOST_BROADCAST_PARTITIONS = 100_000
+# Up to this many days are stated as values in the partition filter of a merge.
+_MOST_LISTED_DAYS = 2_000
 
 
 def write_partitioned(
@@ -71,37 +73,66 @@ def read_silver(
     return rows
 
 
+def _touched_only(old: DataFrame, touched: DataFrame, partitions: int) -> DataFrame:
+    """Rows of ``old`` in the partitions of ``touched``.
+
+    Up to a checked count the days are stated as values, so that the scan lists only their folders, however far
+    apart they lie, and the folder names are broadcast. Beyond it the span of days prunes, and Spark joins by
+    shuffle.
+    """
+    number = F.col("year") * 10_000 + F.col("month") * 100 + F.col("day")
+    if partitions <= _MOST_BROADCAST_PARTITIONS:
+        days = [row[0] for row in touched.select(number).distinct().collect()]
+        if len(days) <= _MOST_LISTED_DAYS:
+            old = old.filter(number.isin(days))
+        touched = F.broadcast(touched)
+    if partitions > _MOST_BROADCAST_PARTITIONS or len(days) > _MOST_LISTED_DAYS:
+        span = touched.agg(F.min(number), F.max(number)).first()
+        old = old.filter(number.between(*span))
+    return old.join(touched, PARTITION_COLUMNS, "left_semi")
+
+
+def _finish(spark: SparkSession, staging: str, path: str) -> int:
+    """Write a merge that was staged completely, and clear its staging folder."""
+    rows = write_silver(spark.read.schema(SILVER).parquet(child(staging, "merged")), path)
+    remove_folder(spark, staging)
+    return rows
+
+
 def merge_silver(df: DataFrame, path: str) -> int:
     """Add rows to the partitions they touch instead of replacing these; returns the rows written.
 
     Meant for a partial dump. Of two copies of a reading the usual one survives, so the result is what
-    cleaning both dumps together would give, in whatever order they arrive and however often. Both the
-    new rows and the merged partitions are staged in the shared folder, so nothing is computed from
-    files that the last step replaces.
+    cleaning both dumps together would give, in whatever order they arrive and however often.
+
+    The new rows and the merged partitions are staged in a folder beside the dataset, named after it. Once the
+    merged partitions are complete a mark says so. A failure before the mark leaves the dataset as it was; one
+    after it, while folders are replaced, is mended by the next merge, which first repeats the marked write. One
+    merge at a time may run on a dataset.
     """
     spark = df.sparkSession
-    fresh_path, merged_path = (shared_folder(spark, name) for name in ("fresh", "merged"))
-    df.select(*SILVER_COLUMNS).write.parquet(fresh_path)
-    fresh = spark.read.schema(SILVER).parquet(fresh_path)
-    touched = fresh.select(*PARTITION_COLUMNS).distinct()
-    day = F.make_date("year", "month", "day")
-    span = touched.agg(
-        F.min(day).alias("first"), F.max(day).alias("last"), F.count(F.lit(1)).alias("partitions")
-    ).first()
-    if not span["partitions"] or not has_files(spark, path):
-        rows = write_silver(fresh, path)
-        remove_folder(spark, fresh_path)
-        return rows
-    # The span prunes the listing of the old dataset, the semi-join keeps exactly the touched folders.
-    old = read_silver(spark, path, span["first"], span["last"])
-    if span["partitions"] <= _MOST_BROADCAST_PARTITIONS:
-        touched = F.broadcast(touched)
-    stale = old.join(touched, PARTITION_COLUMNS, "left_semi").select(*SILVER_COLUMNS)
-    derived = ["observed_date", "year", "month", "day", "health_risk_category"]
-    union = stale.unionByName(fresh).drop(*derived)
-    merged = with_risk(with_date_columns(one_per_reading(union)))
-    merged.select(*SILVER_COLUMNS).write.parquet(merged_path)
-    rows = write_silver(spark.read.schema(SILVER).parquet(merged_path), path)
-    remove_folder(spark, fresh_path)
-    remove_folder(spark, merged_path)
-    return rows
+    staging = f"{str(path).rstrip('/')}__merge"
+    if has_files(spark, child(staging, "complete")):
+        _finish(spark, staging, path)
+    remove_folder(spark, staging)
+    marked = False
+    try:
+        df.select(*SILVER_COLUMNS).write.parquet(child(staging, "fresh"))
+        fresh = spark.read.schema(SILVER).parquet(child(staging, "fresh"))
+        touched = fresh.select(*PARTITION_COLUMNS).distinct()
+        partitions = touched.count()
+        if not partitions:
+            return 0
+        union = fresh
+        if has_files(spark, path):
+            stale = _touched_only(read_silver(spark, path), touched, partitions)
+            union = stale.select(*SILVER_COLUMNS).unionByName(fresh)
+        derived = ["observed_date", "year", "month", "day", "health_risk_category"]
+        merged = with_risk(with_date_columns(one_per_reading(union.drop(*derived))))
+        merged.select(*SILVER_COLUMNS).write.parquet(child(staging, "merged"))
+        spark.range(1).write.parquet(child(staging, "complete"))
+        marked = True
+        return _finish(spark, staging, path)
+    finally:
+        if not marked:
+            remove_folder(spark, staging)

@@ -1,12 +1,16 @@
 import json
 
+import pytest
+
 from hazelake.dictionaries import PAGE_LIMIT
 from hazelake.sources.landing import (
     complete_pages,
     flatten_pages,
     parse_pages,
+    readable_pages,
     read_pages,
     read_station_documents,
+    rejected_pages,
     tag_request_key,
 )
 from pyspark.sql import functions as F
@@ -36,6 +40,17 @@ def test_each_shape_of_a_response(spark):
     assert sorted(row.concentration for row in flat.collect()) == ["1", "2", "3", "4"]
 
 
+def test_a_truncated_page_is_no_end_of_a_run(spark):
+    whole = json.dumps([record(1), record(2)])
+    rows = [("a", 0, whole), ("a", 2, whole[:-9]), ("a", 4, whole), ("b", 0, whole), ("b", 2, ""), ("c", 0, '{"data": [1'), ("d", 0, None)]
+    pages = bodies(spark, rows)
+    with pytest.raises(Exception, match="Unreadable page"):
+        complete_pages(parse_pages(pages), limit=2).collect()
+    assert sorted((r.run, r.offset) for r in rejected_pages(pages).collect()) == [("a", 2), ("c", 0)]
+    kept = complete_pages(parse_pages(readable_pages(pages)), limit=2).collect()
+    assert sorted((r.run, r.offset) for r in kept) == [("b", 0), ("b", 2), ("d", 0)]
+
+
 def test_runs_end_at_their_first_short_page(spark):
     sizes = {
         "short": {0: 2, 2: 2, 4: 1, 6: 2},

@@ -16,14 +16,13 @@ def types(schema):
 def test_daily_rows_are_cleaned_and_bad_ones_dropped(spark):
     silver = clean(daily(spark), "opendosm")
     assert types(silver.schema) == types(SILVER)
-    first, second, third = silver.orderBy("observed_date").collect()
-    assert (first.source, first.pollutant, first.unit) == ("opendosm", "PM2.5", "ug/m3")
-    assert (first.year, first.month, first.day) == (2026, 5, 27)
-    assert (first.country, first.state, first.source_location_id) == ("Malaysia", None, None)
-    assert first.health_risk_category == "good"
-    assert (second.pollutant, second.health_risk_category) == ("PM10", "unhealthy_sensitive")
-    assert (third.pollutant, third.reading_value) == ("CO", None)
-    assert third.health_risk_category == "unknown"
+    rows = silver.orderBy("observed_at", "pollutant").collect()
+    assert [(r.pollutant, r.reading_value, r.day) for r in rows] == [("NO2", 88.0, 3), ("O3", 31.25, 4), ("SO2", None, 4)]
+    assert {(r.source, r.year, r.month, r.country, r.state, r.source_location_id) for r in rows} == {
+        ("opendosm", 2025, 11, "Malaysia", None, None)
+    }
+    assert rows[0].observed_at.hour == 18 and all(r.unit for r in rows)
+    assert [r.health_risk_category == "unknown" for r in rows] == [False, False, True]
 
 
 def test_daily_shortcut_gives_what_the_shared_plan_gives(spark):
@@ -37,8 +36,8 @@ def test_text_and_typed_input_agree(spark):
     frame = daily(spark)
     text = frame.withColumn("concentration", F.col("concentration").cast("string"))
     assert rows_of(clean_daily(frame)) == rows_of(clean_daily(text))
-    dated = frame.filter("date = '2026-05-27'").withColumn("date", F.to_date("date"))
-    assert clean_daily(dated).first().day == 27
+    dated = frame.filter("date = '2025-11-04'").withColumn("date", F.to_date("date"))
+    assert clean_daily(dated).first().day == 4
 
 
 def test_unreadable_number_keeps_the_row(spark):
@@ -49,34 +48,30 @@ def test_unreadable_number_keeps_the_row(spark):
 
 
 def test_station_sensors_become_rows(spark):
-    sensors = [sensor("pm25", "µg/m³"), sensor("temperature", "c"), sensor("relativehumidity", "%")]
-    docs = documents(spark, [{"location_id": "123", "results": [station(5, "KLCC", sensors)]}])
+    sensors = [sensor("so2", "PPB"), sensor("o3", "ppbv"), sensor("pm10", None), sensor("co", "ppm")]
+    place = station(77, "Minden, Penang", sensors, locality="penang")
+    docs = documents(spark, [{"location_id": "4021", "results": [place]}])
     rows = clean(docs, "openaq").orderBy("pollutant").collect()
-    assert [row.pollutant for row in rows] == ["PM2.5", "RELATIVE_HUMIDITY", "TEMPERATURE"]
-    assert [row.unit for row in rows] == ["ug/m3", "percent", "celsius"]
+    assert [(row.pollutant, row.unit) for row in rows] == [("CO", "ppm"), ("O3", "ppb"), ("PM10", "ug/m3"), ("SO2", "ppb")]
     for row in rows:
-        assert (row.source, row.source_location_id, row.state) == ("openaq", "123", "Kuala Lumpur")
-        assert (row.latitude, row.longitude) == (3.1579, 101.7123)
+        assert (row.source, row.source_location_id, row.state) == ("openaq", "4021", "Pulau Pinang")
+        assert (row.latitude, row.longitude) == (5.4141, 100.3288)
         assert (row.reading_value, row.health_risk_category) == (None, "unknown")
         assert row.observed_date.isoformat() == "2026-05-27"
 
 
 def test_stations_without_sensor_or_time_are_dropped(spark):
-    pm25 = [sensor("pm25", "ug/m3")]
-    results = [
-        station(2, "No Sensors", []),
-        station(6, "Null Sensors", None),
-        station(3, "No Time", pm25, last=None, first=None),
-        station(4, "Nameless Sensor", [sensor(None), None]),
-        station(1, "KLCC", pm25),
-    ]
+    ozone = [sensor("o3", "ppb"), None, sensor(None)]
+    timeless = station(31, "Undated", ozone, first=None, last=None)
+    unequipped = [station(32, "Bare", []), station(33, "Barer", None), station(34, "Unnamed", ozone[1:])]
     docs = [
-        {"location_id": "1", "results": results},
-        {"location_id": "8", "results": []},
-        {"location_id": "9", "results": None},
+        {"location_id": "60", "results": [timeless, *unequipped]},
+        {"location_id": "61", "results": []},
+        {"location_id": "62", "results": None},
+        {"location_id": "63", "results": [*unequipped, station(35, "Ipoh", ozone), timeless]},
     ]
     rows = clean_stations(documents(spark, docs)).collect()
-    assert [(row.source_location_id, row.location_name) for row in rows] == [("1", "KLCC")]
+    assert [(row.source_location_id, row.location_name) for row in rows] == [("63", "Ipoh")]
 
 
 def test_station_fallbacks(spark):

@@ -1,13 +1,14 @@
 import os
+import shutil
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from hazelake.plans.silver import clean_daily, clean_stations
-from hazelake.schemas import SILVER
+from hazelake.schemas import PARTITION_COLUMNS, SILVER
 from hazelake.sources import silver as silver_sink
-from hazelake.sources.paths import child, has_files, shared_folder
+from hazelake.sources.paths import child, shared_folder
 from hazelake.sources.silver import merge_silver, read_silver, write_partitioned, write_silver
 from samples import daily, documents, random_daily, rows_of, sensor, station
 
@@ -28,12 +29,12 @@ def stations(spark, day="2026-05-27"):
 
 def test_layout_and_required_columns(spark, tmp_path):
     frame = spark.createDataFrame(
-        [("opendosm", 2026, 5, 27, "CO")],
+        [("openaq", 2024, 12, 9, "O3")],
         "source string, year int, month int, day int, pollutant string",
     )
     path = tmp_path / "air_quality"
     assert write_silver(frame, path) == 1
-    assert (path / "year=2026" / "month=5" / "day=27" / "source=opendosm").is_dir()
+    assert (path / "year=2024" / "month=12" / "day=9" / "source=openaq").is_dir()
     narrow = frame.withColumnRenamed("pollutant", "other")
     assert write_silver(narrow, tmp_path / "narrow") == 1
     with pytest.raises(ValueError, match="Missing required silver partition columns: .'source'."):
@@ -55,10 +56,10 @@ def test_other_source_survives_in_a_plain_session(spark, tmp_path):
     write_silver(clean_daily(daily(spark)), path)
     write_silver(stations(spark), path)
     assert read_silver(spark, path).groupBy("source").count().count() == 2
-    write_silver(clean_daily(daily(spark, [("2026-05-27", "co", 9.0)])), path)
+    write_silver(clean_daily(daily(spark, [("2025-11-04", "co", 9.0)])), path)
     rows = read_silver(spark, path).filter("source = 'opendosm'")
-    # The 27th is replaced, the other days stay.
-    assert sorted((r.day, r.pollutant) for r in rows.collect()) == [(27, "CO"), (28, "PM10"), (30, "CO")]
+    # The 4th is replaced, the other day stays.
+    assert sorted((r.day, r.pollutant) for r in rows.collect()) == [(3, "NO2"), (4, "CO")]
 
 
 def test_writing_twice_is_writing_once_and_appending_is_not(spark, tmp_path):
@@ -104,8 +105,8 @@ def test_a_day_is_one_file_unless_it_outgrows_the_advisory_size(spark, tmp_path)
 def test_day_range_is_a_partition_filter(spark, tmp_path, plan_of):
     path = str(tmp_path / "s")
     write_silver(clean_daily(daily(spark)), path)
-    some = read_silver(spark, path, since=date(2026, 5, 28), until=date(2026, 5, 29))
-    assert [row.day for row in some.collect()] == [28]
+    some = read_silver(spark, path, since=date(2025, 11, 2), until=date(2025, 11, 3))
+    assert [row.day for row in some.collect()] == [3]
     assert "make_date" in plan_of(some).split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
@@ -127,13 +128,40 @@ def test_merge_leaves_other_partitions_and_the_shared_folder_alone(spark, tmp_pa
     path = str(tmp_path / "s")
     write_silver(clean_daily(daily(spark)), path)
     write_silver(stations(spark), path)
-    before = {name for name in files_below(path) if "day=27" not in name or "openaq" in name}
-    shared = shared_folder(spark, "x").rsplit("/", 1)[0]
-    staged = set(os.listdir(shared)) if has_files(spark, shared) else set()
-    assert merge_silver(clean_daily(daily(spark, [("2026-05-27", "co", 9.0)])), path) == 2
+    before = {name for name in files_below(path) if "day=3/" not in name or "openaq" in name}
+    assert merge_silver(clean_daily(daily(spark, [("2025-11-03", "co", 9.0)])), path) == 2
     assert before <= set(files_below(path))
     assert merge_silver(clean_daily(daily(spark, [])), path) == 0
-    assert set(os.listdir(shared)) == staged
+    assert os.listdir(tmp_path) == ["s"]
+
+
+def test_merge_that_fails_midway_is_mended_by_the_next(spark, tmp_path, monkeypatch):
+    rows, path = random_daily(300), str(tmp_path / "s")
+    merge_silver(clean_daily(daily(spark, rows[:150])), path)
+
+    def fail(*args):
+        shutil.rmtree(next((tmp_path / "s").glob("year=*")))  # as if a folder was gone and its new one not yet there
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(silver_sink, "write_silver", fail)
+        with pytest.raises(OSError, match="lost"):
+            merge_silver(clean_daily(daily(spark, rows[100:])), path)
+    merge_silver(clean_daily(daily(spark, rows[100:])), path)
+    assert rows_of(read_silver(spark, path)) == rows_of(clean_daily(daily(spark, rows)))
+    assert os.listdir(tmp_path) == ["s"]
+
+
+def test_merge_lists_only_the_days_it_touches(spark, tmp_path, plan_of):
+    path = str(tmp_path / "s")
+    days = ["2014-01-05", "2016-03-01", "2018-07-09", "2024-01-05"]
+    write_silver(clean_daily(daily(spark, [(day, "co", 1.0) for day in days])), path)
+    touched = clean_daily(daily(spark, [(days[0], "no2", 1.0), (days[3], "no2", 2.0)]))
+    old = silver_sink._touched_only(read_silver(spark, path), touched.select(*PARTITION_COLUMNS).distinct(), 2)
+    filters = plan_of(old).split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "* 10000)" in filters and "IN (" in filters
+    assert sorted(r.year for r in old.collect()) == [2014, 2024]
+    assert merge_silver(touched, path) == 4
 
 
 def test_generic_partitioned_write(spark, tmp_path):
