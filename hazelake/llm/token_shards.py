@@ -17,10 +17,12 @@ A shard is a row of a Parquet table, so that tasks that are repeated or lost lea
     sequence binary          symbols, unsigned 16 bit, little-endian; from the vocabulary's size on, rules
 """
 
+import re
 import uuid
 import zlib
+from collections import defaultdict
 from functools import cache, partial
-from itertools import batched
+from itertools import batched, islice
 
 import numpy as np
 import public_tokenizers
@@ -37,8 +39,10 @@ SHARD_IDS = 1 << 20
 #: Rounds of replacement, pairs replaced in a round at most, and how often a pair must stand in a shard.
 ROUNDS, ROUND_PAIRS, LEAST_COUNT = 6, 4096, 12
 SYMBOLS = 1 << 16
-#: Distinct cuts whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 600_000
+#: Distinct cuts whose ids a Python worker remembers, some 200 bytes each; beyond that it starts anew.
+REMEMBERED = 1_000_000
+#: Documents that are encoded together.
+RUN_DOCS = 512
 #: Cuts that are joined to one text for the tokenizer.
 JOINED = 512
 
@@ -65,8 +69,16 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+# A full stop or comma between a letter and a blank begins a pre-token.
+_STOP = re.compile(r"(?<=[a-z])([.,])(?=[ \n])")
+
+
 class Encoder:
-    """Ids of texts. Spaces and line ends part pre-tokens, so each distinct cut between them is encoded once."""
+    """Ids of texts.
+
+    Spaces and line ends part pre-tokens, and so does a stop after a letter; each distinct cut between them is encoded
+    once.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
@@ -79,16 +91,18 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.known: dict[str, int] = {"": 0}
+        self.known: dict[str, int] = defaultdict()
+        self.known.default_factory = self.known.__len__  # a new cut gets the next number
+        self.known[""]
         self.flat, self.starts, self.lengths = np.zeros(0, np.uint16), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             self._forget()
         known, before = self.known, len(self.known)
-        cuts = [text.replace("\n", " ").split(" ") for text in texts]
-        found = [np.fromiter((known.setdefault(c, len(known)) for c in parts), np.int64, len(parts)) for parts in cuts]
-        self._learn(list(known)[before:] if len(known) > before else [])
+        cuts = [_STOP.sub(r" \1", text).replace("\n", " ").split(" ") for text in texts]
+        found = [np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)) for parts in cuts]
+        self._learn(list(islice(known, before, None)))
         every = np.concatenate(found)
         ids = self.flat[ragged(self.starts[every], self.lengths[every])]
         sizes = [int(self.lengths[x].sum()) for x in found]
@@ -202,10 +216,16 @@ def _shard_row(number: int, doc_ids: list, ids: list[np.ndarray], base: int) ->
     return pa.RecordBatch.from_pylist([row], schema=_SHARD)
 
 
+@cache
+def _encoder(path: str) -> Encoder:
+    """One per Python worker: cuts that one task has met are known to the next."""
+    return Encoder(path)
+
+
 def _shards(batches, path: str, end_id: int, shard_ids: int):
-    encode, task, made = Encoder(path), TaskContext.get().partitionId(), 0
+    encode, task, made = _encoder(path), TaskContext.get().partitionId(), 0
     doc_ids, ids, size, end = [], [], 0, np.array([end_id], np.uint16)
-    for batch in sliced(batches, 128):
+    for batch in sliced(batches, RUN_DOCS):
         texts = batch.column(1).fill_null("").to_pylist()
         for doc_id, found in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
             doc_ids.append(doc_id)
