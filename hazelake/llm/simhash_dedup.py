@@ -15,7 +15,7 @@ from functools import cache, partial, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazelake.llm.common import checkpointed, hinted, only, sliced, staged
@@ -112,9 +112,10 @@ def _replicate(batches, beyond: int):
 
 
 def links(classes: DataFrame, threshold: int = THRESHOLD, staying: int = 0) -> DataFrame:
-    """``a, b`` for the pairs of the distinct fingerprints of ``classes(bits)`` that differ in so few bits.
+    """``a < b`` for the pairs of the distinct fingerprints of ``classes(bits)`` that differ in so few bits, each once.
 
-    A pair is found from either side and may be found at several anchors.
+    Two that share several anchors are a pair at only one of them: that of ``a`` with the first ``staying`` bits changed
+    in which ``b`` differs.
     """
     if not 0 <= staying <= threshold - staying <= BEYOND:
         raise ValueError(f"Neither part of the threshold may exceed {BEYOND} bits")
@@ -125,7 +126,28 @@ def links(classes: DataFrame, threshold: int = THRESHOLD, staying: int = 0) -> D
 
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
     pairs = at_anchors(staying, "a").join(at_anchors(threshold - staying, "b"), "anchor")
-    return pairs.where(near & (F.col("a") != F.col("b"))).select("a", "b")
+    pairs = pairs.where(near & (F.col("a") < F.col("b")))
+    if staying:
+        covered = F.lit((1 << LENGTH * len(SEGMENTS)) - 1)
+        between, differs = F.col("a"), F.col("a").bitwiseXOR(F.col("b")).bitwiseAND(covered)
+        for _ in range(staying):
+            lowest = differs.bitwiseAND(-differs)
+            between, differs = between.bitwiseXOR(lowest), differs.bitwiseXOR(lowest)
+        pairs = pairs.where(F.col("anchor") == _own_anchor(between))
+    return pairs.select("a", "b")
+
+
+def _own_anchor(bits: Column) -> Column:
+    """The anchor next to a fingerprint, as :func:`anchors_of` has it first."""
+    leaders = F.array(*(F.lit(int(x[0])) for x in anchor_offsets()[0]))
+    words = []
+    for first in SEGMENTS:
+        word = F.shiftrightunsigned(bits, first).bitwiseAND(F.lit((1 << LENGTH) - 1))
+        checks = (F.lit(int(c)) for c in _syndrome(1 << np.arange(LENGTH)))
+        set_checks = (F.when(word.bitwiseAND(F.lit(1 << i)) != 0, c).otherwise(F.lit(0)) for i, c in enumerate(checks))
+        syndrome = reduce(lambda a, b: a.bitwiseXOR(b), set_checks)
+        words.append(word.bitwiseXOR(F.element_at(leaders, (syndrome + 1).cast("int")).cast("long")))
+    return F.shiftleft(words[0], LENGTH).bitwiseOR(words[1])
 
 
 def _marked(docs: DataFrame) -> DataFrame:
