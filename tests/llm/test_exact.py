@@ -140,6 +140,23 @@ def test_one_text_of_each_group_stays(frame):
     ]
 
 
+def test_near_copies_go_and_others_stay(documents, frame):
+    """Each pair of Jaccard similarity >= 4/5 on five words is linked, whatever its fingerprints, and no other."""
+
+    def shingles(text):
+        words = (text or "").encode().lower().split()
+        return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or frozenset([tuple(words)])
+
+    base = [f"w{i}" for i in range(100)]
+    rows = [(100_000 + k, " ".join(f"z{i}" if i in range(7, 7 + 12 * k, 12) else w for i, w in enumerate(base))) for k in range(5)]
+    rows += [(100_100 + k, " ".join([*base[:50], *(f"u{k}-{i}" for i in range(k))])) for k in range(0, 16, 3)]
+    rows += pairs(documents)
+    sets = {i: shingles(t) for i, t in rows}
+    linked = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    found = {r.doc_id for r in simhash_dedup.one_per_group(frame(rows)).collect()}
+    assert found == set(roots(sets, linked).values())
+
+
 def plain_substring_dedup(rows):
     seen, out = {}, {}
     for doc_id, text in sorted(rows, key=lambda r: r[0]):
