@@ -319,9 +319,9 @@ def similar_texts(docs: DataFrame) -> DataFrame:
 def one_per_group(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates of ``docs``, unchanged: the one with the smallest id.
 
-    Rows of Jaccard similarity >= 4/5 on shingles of five words are linked (:func:`similar_texts`). Of several rows with
-    that id, and in a group without any id, one row stays. Of the texts of whole rows only those of repeated or missing
-    ids are shuffled.
+    Rows of Jaccard similarity >= 4/5 on shingles of five words are linked (:func:`similar_texts`). Of several rows of a
+    group with that id, and in a group without any id, one row stays; an id may be the smallest of several groups. Of
+    the texts of whole rows only those of repeated or missing ids are shuffled.
     """
     marked = staged(_classed(only(docs, "doc_id", "text"), "doc_id"), "classes")
     rooted = checkpointed(similar_texts(_classed(only(docs, "text"), "text")))
@@ -334,7 +334,13 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     )
     odd = checkpointed(ids.where("rows > 1 or not first"))
     once = docs.where("doc_id is not null").join(hinted(odd.select("doc_id")), "doc_id", "left_anti")
-    repeated = docs.join(hinted(odd.where("first").select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    leading = of_rows.where(F.col("component_id") == F.col("doc_id")).join(odd.select("doc_id"), "doc_id")
+    leading = leading.select(
+        F.col("doc_id").alias("_id"), F.col("_class").alias("_first"), F.col("root").alias("_root")
+    ).distinct()
+    repeated = _classed(docs.join(hinted(odd.where("first").select("doc_id")), "doc_id", "left_semi"), *docs.columns)
+    of_first = (F.col("doc_id") == F.col("_id")) & (F.col("_class") == F.col("_first"))
+    repeated = repeated.join(hinted(leading), of_first).dropDuplicates(["_root"])
     lone = groups.where("component_id is null").select(F.col("class").alias("_lone"), F.col("root").alias("_root"))
     without = _classed(docs.where("doc_id is null"), *docs.columns)
     without = without.join(hinted(lone), F.col("_class") == F.col("_lone")).dropDuplicates(["_root"])

@@ -140,6 +140,14 @@ def test_one_text_of_each_group_stays(frame):
     ]
 
 
+def test_each_group_of_a_repeated_id_keeps_a_text(frame):
+    rows = [(1, "a b c"), (3, "one two"), (3, "three four"), (3, "A b c"), (4, "three  four"), (5, "one two"), (5, "alone")]
+    kept = simhash_dedup.one_per_group(frame(rows))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [
+        (1, "a b c"), (3, "one two"), (3, "three four"), (5, "alone")
+    ]
+
+
 def test_near_copies_go_and_others_stay(documents, frame):
     """Each pair of Jaccard similarity >= 4/5 on five words is linked, whatever its fingerprints, and no other."""
 
