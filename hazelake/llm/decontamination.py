@@ -4,6 +4,9 @@ A seed is a fixed mask over ``SPAN`` consecutive words that ignores some of them
 a document is hashed once per mask over the words that the mask looks at; equal hashes are hits, whatever stands at
 the ignored places. The three masks ignore every place of the span once, so a window with any one word replaced still
 hits. A hit is verified on the words themselves: around it, both texts must agree in ``MIN_EQUAL`` aligned words.
+
+An item of at most ``SPAN`` words is one window of its own length. From ``TOLERANT`` words on, one of them may be replaced;
+a shorter item must stand whole. Scripts without blanks have a word per character.
 """
 
 from functools import reduce
@@ -20,38 +23,79 @@ IGNORED = ((1, 4, 7, 10), (2, 5, 8, 11), (0, 3, 6, 9))
 FLANK, MIN_EQUAL = 6, 12
 #: Hashes of benchmark windows that are broadcast at a time; a larger benchmark takes several passes.
 KEYS_PER_PASS = BROADCAST_ROWS
+#: Words from which on a short item may differ in one.
+TOLERANT = 8
+#: Blocks of scripts that put no blanks between words: Thai, Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{20000}-\x{3FFFF}"
+WORD = rf"[[{UNSPACED}]&&[\p{{L}}\p{{N}}]]\p{{M}}*|[[\p{{L}}\p{{N}}]&&[^{UNSPACED}]]+"
 
 
 def words(text: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    """Lower-cased runs of letters and digits; single letters, with their marks, of scripts without blanks."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def _windows(df: DataFrame) -> DataFrame:
-    """A row for each window start ``at`` of ``df(id, words)``; texts shorter than the span have none."""
-    hashed = df.where(F.size("words") >= SPAN).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    return hashed.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - SPAN)))
+def _windows(df: DataFrame, shortest: int = SPAN) -> DataFrame:
+    """A row for each ``at`` of ``df(id, words)`` from which on there are so many words."""
+    hashed = df.where(F.size("words") >= shortest).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    return hashed.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - shortest)))
 
 
-def _keys() -> Column:
-    """One hash per mask of the window at ``at``."""
-    looked_at = [[i for i in range(SPAN) if i not in ignored] for ignored in IGNORED]
-    return F.array(
-        *(
-            F.xxhash64(F.lit(mask), *(F.get("hashes", F.col("at") + i) for i in places))
-            for mask, places in enumerate(looked_at)
-        )
-    )
+def _places(length: int) -> list[list[int]]:
+    """What each mask of a window of so many words looks at; all words of one that must stand whole."""
+    if length < TOLERANT:
+        return [list(range(length))]
+    return [[i for i in range(length) if i not in ignored] for ignored in IGNORED]
+
+
+def _hashes(length: int) -> list[Column]:
+    """One hash per mask of the window of so many words at ``at``."""
+    return [
+        F.xxhash64(F.lit(mask + len(IGNORED) * (SPAN - length)), *(F.get("hashes", F.col("at") + i) for i in places))
+        for mask, places in enumerate(_places(length))
+    ]
+
+
+def _keys(lengths: list[int]) -> Column:
+    """The hashes of the windows of these lengths at ``at``; null where the text ends before."""
+    fits = {length: F.col("at") + length <= F.size("words") for length in lengths}
+    if len(lengths) == 1:
+        return F.array(*_hashes(lengths[0]))
+    return F.array(*(F.when(fits[length], key) for length in lengths for key in _hashes(length)))
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    return only(benchmark, "item_id", "text").select("item_id", words(F.col("text")).alias("words"))
+
+
+def _short_lengths(benchmark: DataFrame) -> list[int]:
+    """Lengths of the items that are shorter than the span."""
+    size = F.size("words")
+    found = _items(benchmark).where((size > 0) & (size < SPAN)).select(size.alias("n")).distinct().collect()
+    return sorted(row.n for row in found)
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id, key, item_at, item_words`` for each mask and window of every item."""
-    rows = only(benchmark, "item_id", "text").select("item_id", words(F.col("text")).alias("words"))
-    return _windows(rows).select(
-        "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words"), F.explode(_keys()).alias("key")
-    )
+    """``item_id, key, item_at, item_words, least`` for each mask and window of every item.
+
+    ``least`` is how many words must agree.
+    """
+    size = F.size("words")
+    least = F.when(size > SPAN, MIN_EQUAL).when(size >= TOLERANT, size - 1).otherwise(size)
+    rows = _items(benchmark).withColumn("least", least)
+    parts = []
+    for length in [SPAN, *_short_lengths(benchmark)]:
+        of_length = rows.where(size >= SPAN if length == SPAN else size == length)
+        parts.append(
+            _windows(of_length, length).select(
+                "item_id",
+                F.col("at").alias("item_at"),
+                F.col("words").alias("item_words"),
+                "least",
+                F.explode(_keys([length])).alias("key"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, keys_per_pass: int = KEYS_PER_PASS) -> DataFrame:
@@ -61,8 +105,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, keys_per_pass: int = KEYS_PE
     """
     keys = benchmark_windows(benchmark).distinct()
     passes = max(1, -(-keys.count() // keys_per_pass))
+    lengths = [*_short_lengths(benchmark), SPAN]
     rows = only(docs, "doc_id", "text").select("doc_id", words(F.col("text")).alias("words"))
-    windows = _windows(rows).select("doc_id", "words", "at", F.explode(_keys()).alias("key"))
+    windows = _windows(rows, lengths[0]).select("doc_id", "words", "at", F.explode(_keys(lengths)).alias("key"))
+    windows = windows.where("key is not null")
     share = F.pmod(F.xxhash64("key", F.lit(passes)), F.lit(passes))
     hits = reduce(
         DataFrame.unionByName, (windows.join(F.broadcast(keys.where(share == i)), "key") for i in range(passes))
@@ -74,16 +120,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, keys_per_pass: int = KEYS_PE
         )
     )
     # As an aggregate the comparison stays above the join, which then runs in the generated code of the windows.
-    best = hits.groupBy("doc_id", "item_id").agg(F.max(equal).alias("equal"))
-    return checkpointed(best.where(F.col("equal") >= MIN_EQUAL).select("doc_id", "item_id"))
+    best = hits.groupBy("doc_id", "item_id").agg(F.max(equal - F.col("least")).alias("beyond"))
+    return checkpointed(best.where(F.col("beyond") >= 0).select("doc_id", "item_id"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, contaminated, n_items, first_item`` of every row of ``docs``.
 
     ``n_items`` counts the benchmark items that the document overlaps with, ``first_item`` is the smallest of them. Rows
-    with the same id share their findings, null being one id. Null and empty texts, and texts or items of fewer than
-    ``SPAN`` words, overlap with nothing. Items are told apart by id; rows of one id are one item,
+    with the same id share their findings, null being one id. Null and empty texts and items overlap with
+    nothing; a short item marks each text that it stands in. Items are told apart by id; rows of one id are one item,
     also for a null id.
     """
     found = (

@@ -91,6 +91,17 @@ def test_overlaps_tolerate_a_substitution(spark, frame):
     assert decontamination.contamination(frame(rows), benchmark.limit(0)).where("contaminated").count() == 0
 
 
+def test_short_and_unspaced_items_are_found(spark, frame):
+    item = [f"w{i}" for i in range(12)]
+    benchmark = [(1, "What is  it?"), (2, " ".join(item)), (3, "日本の首都はどこですか"), (4, "ประเทศไทย"), (5, "a b c d e f g h i"), (6, "?")]
+    benchmark = spark.createDataFrame(benchmark, "item_id long, text string")
+    rows = [(1, "so: what is it"), (2, " ".join([*item[:5], "x", *item[6:]])), (3, "問題。日本の首都はどこですか。東京"), (4, "อยู่ในประเทศไทยครับ")]
+    rows += [(5, "a b c X e f g h i"), (6, "what is this"), (7, "a b X d e f X h i"), (8, "it"), (9, " ".join(item[:10])), (10, "日本はどこ")]
+    for keys_per_pass in (decontamination.KEYS_PER_PASS, 3):
+        found = decontamination.overlaps(frame(rows), benchmark, keys_per_pass)
+        assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(i, i) for i in range(1, 6)]
+
+
 def test_mixing_meets_its_limits(docs):
     plan = mixing.source_plan(docs, max_repetition=1.1)
     sizes = mixing.mixing_plan(docs).groupBy("source").agg(F.sum("n_tokens").alias("n"))
