@@ -23,8 +23,12 @@ IGNORED = ((1, 4, 7, 10), (2, 5, 8, 11), (0, 3, 6, 9))
 FLANK, MIN_EQUAL = 6, 12
 #: Hashes of benchmark windows that are broadcast at a time; a larger benchmark takes several passes.
 KEYS_PER_PASS = BROADCAST_ROWS
+#: Bytes of their rows, estimated, that are broadcast at a time.
+BYTES_PER_PASS = 128 << 20
 #: Words from which on a short item may differ in one.
 TOLERANT = 8
+#: Longer words are compared by their SHA-256, so that a row of the benchmark is bounded.
+LONG_WORD = 64
 #: Blocks of scripts that put no blanks between words: Thai, Lao, Myanmar, Khmer, kana, Han.
 UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{20000}-\x{3FFFF}"
 WORD = rf"[[{UNSPACED}]&&[\p{{L}}\p{{N}}]]\p{{M}}*|[[\p{{L}}\p{{N}}]&&[^{UNSPACED}]]+"
@@ -64,6 +68,10 @@ def _keys(lengths: list[int]) -> Column:
     return F.array(*(F.when(fits[length], key) for length in lengths for key in _hashes(length)))
 
 
+def _comparable(word: Column) -> Column:
+    return F.when(F.length(word) > LONG_WORD, F.sha2(word, 256)).otherwise(word)
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     return only(benchmark, "item_id", "text").select("item_id", words(F.col("text")).alias("words"))
 
@@ -76,13 +84,18 @@ def _short_lengths(benchmark: DataFrame) -> list[int]:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id, key, item_at, item_words, least`` for each mask and window of every item.
+    """``item_id, key, item_at, around, least`` for each mask and window of every item.
 
-    ``least`` is how many words must agree.
+    ``around`` are the words from ``FLANK`` before the window to ``FLANK`` after the span, null where the item has none, and
+    ``least`` is how many of them must agree.
     """
+    none = F.lit(None).cast("string")
+    around = F.concat(
+        F.array_repeat(none, FLANK), F.transform("words", _comparable), F.array_repeat(none, SPAN + FLANK)
+    )
     size = F.size("words")
     least = F.when(size > SPAN, MIN_EQUAL).when(size >= TOLERANT, size - 1).otherwise(size)
-    rows = _items(benchmark).withColumn("least", least)
+    rows = _items(benchmark).withColumns({"padded": around, "least": least})
     parts = []
     for length in [SPAN, *_short_lengths(benchmark)]:
         of_length = rows.where(size >= SPAN if length == SPAN else size == length)
@@ -90,7 +103,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             _windows(of_length, length).select(
                 "item_id",
                 F.col("at").alias("item_at"),
-                F.col("words").alias("item_words"),
+                F.slice("padded", F.col("at") + 1, SPAN + 2 * FLANK).alias("around"),
                 "least",
                 F.explode(_keys([length])).alias("key"),
             )
@@ -98,13 +111,18 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, keys_per_pass: int = KEYS_PER_PASS) -> DataFrame:
+def overlaps(
+    docs: DataFrame, benchmark: DataFrame, keys_per_pass: int = KEYS_PER_PASS, bytes_per_pass: int = BYTES_PER_PASS
+) -> DataFrame:
     """``doc_id, item_id`` once for each verified overlap of ``docs(doc_id, text)`` with ``benchmark(item_id, text)``.
 
-    The keys of the benchmark are counted, and broadcast in parts of bounded size, one pass over ``docs`` for each.
+    The keys of the benchmark and their bytes are counted, and broadcast in parts of bounded size, one pass over ``docs``
+    for each. A key has the few words around its window with it, not the item.
     """
     keys = benchmark_windows(benchmark).distinct()
-    passes = max(1, -(-keys.count() // keys_per_pass))
+    size = 64 + 16 * F.size("around") + F.octet_length(F.array_join("around", ""))
+    count, total = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    passes = max(1, -(-count // keys_per_pass), -(-total // bytes_per_pass))
     lengths = [*_short_lengths(benchmark), SPAN]
     rows = only(docs, "doc_id", "text").select("doc_id", words(F.col("text")).alias("words"))
     windows = _windows(rows, lengths[0]).select("doc_id", "words", "at", F.explode(_keys(lengths)).alias("key"))
@@ -116,7 +134,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, keys_per_pass: int = KEYS_PE
     equal = F.size(
         F.filter(
             F.sequence(F.lit(-FLANK), F.lit(SPAN + FLANK - 1)),
-            lambda i: F.get("words", F.col("at") + i) == F.get("item_words", F.col("item_at") + i),
+            lambda i: _comparable(F.get("words", F.col("at") + i)) == F.get("around", i + FLANK),
         )
     )
     # As an aggregate the comparison stays above the join, which then runs in the generated code of the windows.

@@ -102,6 +102,17 @@ def test_short_and_unspaced_items_are_found(spark, frame):
         assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(i, i) for i in range(1, 6)]
 
 
+def test_rows_of_long_items_are_small(spark, frame):
+    text = " ".join(f"w{i}" for i in range(3000)) + " " + "v" * 100_000
+    benchmark = spark.createDataFrame([(1, text)], "item_id long, text string")
+    windows = decontamination.benchmark_windows(benchmark)
+    size = F.octet_length(F.array_join("around", "")) if "around" in windows.columns else F.octet_length(F.array_join("item_words", ""))
+    assert windows.agg(F.max(size)).first()[0] < 2000
+    cut = text.split()[-12:]
+    found = decontamination.overlaps(frame([(1, " ".join(cut)), (2, " ".join(cut[1:]))]), benchmark, bytes_per_pass=1 << 20)
+    assert [tuple(r) for r in found.collect()] == [(1, 1)]
+
+
 def test_mixing_meets_its_limits(docs):
     plan = mixing.source_plan(docs, max_repetition=1.1)
     sizes = mixing.mixing_plan(docs).groupBy("source").agg(F.sum("n_tokens").alias("n"))
