@@ -51,6 +51,9 @@ from hazelake.sources.paths import child, shared_folder
 from hazelake.sources.silver import merge_silver, read_silver, write_partitioned, write_silver
 from hazelake.streaming.snapshots import ingest_stream
 
+#: Ids of events in a row that make one array of ``indented_roundtrip``, so that files grow in number, not in size.
+EVENTS_PER_FILE = 10_000
+
 _FIRST, _SECOND = datetime(2024, 2, 1), datetime(2024, 2, 2)
 
 
@@ -265,10 +268,11 @@ def indented_roundtrip(spark, sf_dir):
         {"pretty": "true"},
     )
     record = F.regexp_replace(F.concat(F.lit("\n"), fields), "\n", "\n  ")
-    arrays = rows.groupBy((F.col("event_id") % 16).alias("part")).agg(F.collect_list(record).alias("records"))
+    part = F.floor(F.col("event_id") / EVENTS_PER_FILE)
+    arrays = rows.groupBy(part.alias("part")).agg(F.collect_list(record).alias("records"))
     text = F.concat(F.lit("["), F.array_join("records", ","), F.lit("\n]"))
     path = shared_folder(spark, "indented")
-    arrays.select(text.alias("value")).repartition(16).write.text(path)
+    arrays.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return read_json(spark, path, DAILY_BRONZE, INDENTED)
 
 

@@ -40,3 +40,12 @@ def test_entry(spark):
 def test_modules_import_without_a_session():
     code = "import __spark_entry__, hazelake.__main__, hazelake.streaming.snapshots"
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+
+
+def test_indented_files_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(queries, "EVENTS_PER_FILE", 100, raising=False)
+    rows = queries.indented_roundtrip(spark, "/root/testdata/sf0.001")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    files = [name for name in rows.inputFiles() if "part-" in name]
+    assert rows.count() == events.count()
+    assert len(files) == events.selectExpr("floor(event_id / 100)").distinct().count()
