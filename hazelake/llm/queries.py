@@ -1,5 +1,6 @@
 """The registered queries of the operators, each over its whole table, and their SQL where it can express them."""
 
+from hazelake.llm.collocations import COLLOCATIONS_SQL, collocations
 from hazelake.llm.common import table
 from hazelake.llm.decontamination import CONTAMINATION_SQL, contamination
 from hazelake.llm.language_id import predict_languages
@@ -54,6 +55,10 @@ def op10_token_shards(spark, sf_dir):
     return token_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filter": op2_url_filter,
@@ -65,10 +70,12 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_source_mixing": op9_source_mixing,
     "op10_token_shards": op10_token_shards,
+    "op11_collocations": op11_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_decontamination": CONTAMINATION_SQL,
     "op8_substring_dedup": SUBSTRING_SQL,
     "op9_source_mixing": MIXING_SQL,
+    "op11_collocations": COLLOCATIONS_SQL,
 }
