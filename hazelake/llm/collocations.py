@@ -35,7 +35,7 @@ SCALE, COVERS = 2_000_000, 80
 #: Shards of the corpus. More shards mean lower local supports.
 SHARDS = 8
 #: Bytes of text that are counted together, and bytes of the corpus for each bucket.
-RUN_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
+RUN_BYTES, BUCKET_BYTES = 6 << 20, 8 << 20
 #: Bits of a phrase's hash that tell it from others of its bucket.
 KEY_BITS = 32
 #: The table that marks frequent phrases has so many bits for each, and 2**MOST_BITS at most: 32 MB.
@@ -92,15 +92,15 @@ class Phrases:
         self.piece = np.cumsum(parts, dtype=np.int32)[self.starts]
         self.array = array
 
-    def hashes(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For 1 to 4 words: at which words phrases begin, and their hashes."""
+    def hashes(self):
+        """For 1 to 4 words in turn: at which words phrases begin, and their hashes."""
         words = span_hashes(self.array, self.starts, self.ends)
-        found, here = [(np.arange(len(words)), words)], words
+        yield np.arange(len(words)), words
+        here = words
         for k in range(1, LONGEST):
             here = followed(here[:-1], words[k:]) if len(here) else here
             whole = np.flatnonzero(self.piece[k:] == self.piece[: max(len(self.piece) - k, 0)])
-            found.append((whole, here[whole]))
-        return found
+            yield whole, here[whole]
 
     def text(self, at: int, words: int) -> str:
         span = self.data[self.starts[at] : self.ends[at + words - 1]]
@@ -125,9 +125,7 @@ def _count(batches, bits: int, run_bytes: int):
     task = TaskContext.get().partitionId()
     for number, lang, texts in _runs(batches, run_bytes):
         phrases = Phrases(texts)
-        every = np.concatenate([h for _, h in phrases.hashes()])
-        keys, counts = counted(np.sort(_keys(_of_lang(every, lang), bits)))
-        del every
+        keys, counts = _merged([counted(np.sort(_keys(_of_lang(h, lang), bits))) for _, h in phrases.hashes()])
         bounds = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(KEY_BITS))
         low = (keys & np.uint64((1 << KEY_BITS) - 1)).astype(np.uint32)
         rows = []
@@ -140,19 +138,22 @@ def _count(batches, bits: int, run_bytes: int):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PACKS, strict=True)], schema=_PACKS)
 
 
-def _summed(packs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys of several packs, and the sums of their counts."""
-    parts = [unpack(p) for p in packs]
-    keys = np.concatenate([np.cumsum(steps, dtype=np.uint32) for steps, _ in parts])
-    counts = np.concatenate([n for _, n in parts]).astype(np.int64)
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of several lists of keys and counts, ascending, and the sums of their counts."""
+    keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+    keys, counts = keys[order], counts[order].astype(np.int64)
     if not len(keys):
         return keys, counts
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(counts, first)
 
 
+def _summed(packs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of several packs, and the sums of their counts."""
+    return _merged([(np.cumsum(steps, dtype=np.uint32), n) for steps, n in map(unpack, packs)])
+
+
 def _frequent(support: int):
     def of_bucket(table: pa.Table) -> pa.Table:
         """One bucket of a language: keys whose phrases are frequent in some shard and reach the support in all."""

@@ -4,7 +4,9 @@ from hazelake.llm.collocations import COLLOCATIONS_SQL, collocations
 from hazelake.llm.common import table
 from hazelake.llm.decontamination import CONTAMINATION_SQL, contamination
 from hazelake.llm.language_id import predict_languages
+from hazelake.llm.manifest import MANIFEST_SQL, audit
 from hazelake.llm.mixing import MIXING_SQL, mixing_plan
+from hazelake.llm.quality import quality
 from hazelake.llm.simhash_dedup import near_duplicates as near_texts
 from hazelake.llm.substring_dedup import SUBSTRING_SQL, substring_dedup
 from hazelake.llm.token_counts import token_counts
@@ -59,6 +61,14 @@ def op11_collocations(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_manifest(spark, sf_dir):
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def op13_quality(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_url_filter": op2_url_filter,
@@ -71,6 +81,8 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_token_shards": op10_token_shards,
     "op11_collocations": op11_collocations,
+    "op12_manifest": op12_manifest,
+    "op13_quality": op13_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -78,4 +90,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_substring_dedup": SUBSTRING_SQL,
     "op9_source_mixing": MIXING_SQL,
     "op11_collocations": COLLOCATIONS_SQL,
+    "op12_manifest": MANIFEST_SQL,
 }
