@@ -40,6 +40,8 @@ RUN_BYTES, BUCKET_BYTES = 6 << 20, 8 << 20
 KEY_BITS = 32
 #: The table that marks frequent phrases has so many bits for each, and 2**MOST_BITS at most: 32 MB.
 BITS_EACH, MOST_BITS = 32, 28
+#: Bits of the table that are one value when it is put together.
+MARK_BITS = 16
 #: Base of a second hash, by which phrases of one hash are told apart.
 OTHER_BASE = 0xD6E8FEB86659FD93
 NO_LANG = "und"
@@ -180,14 +182,25 @@ def _marks(keys: np.ndarray, bits: int) -> np.ndarray:
     return (mixed(keys * MIX) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _mark_bytes(batches, bits: int):
-    """The marks of each batch's keys as ``(byte, mark)``, bytes ascending."""
+def _mark_blocks(batches, bits: int, block_bits: int):
+    """The marks of each batch's keys, in blocks of bytes: ``block, marks``."""
     for batch in batches:
         keys = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8")
         places = np.unique(_marks(keys, bits))
-        byte, first = np.unique(places >> 3, return_index=True)
-        mark = np.bitwise_or.reduceat(np.uint8(1) << (places & 7).astype(np.uint8), first) if len(first) else np.zeros(0)
-        yield pa.RecordBatch.from_arrays([pa.array(byte), pa.array(mark.astype(np.int32))], names=["byte", "mark"])
+        blocks, first = np.unique(places >> block_bits, return_index=True)
+        made = []
+        for some in np.split(places & ((1 << block_bits) - 1), first[1:]):
+            marks = np.zeros(1 << block_bits, bool)
+            marks[some] = True
+            made.append(zstandard.compress(np.packbits(marks, bitorder="little").tobytes(), 1))
+        yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(made[: len(blocks)], pa.binary())], names=["block", "marks"])
+
+
+def _united(table: pa.Table) -> pa.Table:
+    """The marks of one block in all batches."""
+    every = [np.frombuffer(zstandard.decompress(some), np.uint8) for some in table["marks"].to_pylist()]
+    marks = np.bitwise_or.reduce(every)
+    return table.slice(0, 1).set_column(1, "marks", pa.array([zstandard.compress(marks.tobytes(), 3)], pa.binary()))
 
 
 def _recount(batches, bits: int, run_bytes: int, table: bytes, table_bits: int):
@@ -250,11 +263,13 @@ def frequent_phrases(
         "frequent-keys",
     )
     found = keys.agg(F.sum("n")).first()[0] or 0
-    table_bits = min(MOST_BITS, max(16, (BITS_EACH * found).bit_length()))
-    marked = keys.where("n > 0").select("keys").mapInArrow(partial(_mark_bytes, bits=table_bits), "byte long, mark int")
-    marked = marked.groupBy("byte").agg(F.bit_or("mark").alias("mark")).toPandas()
-    table = np.zeros(1 << (table_bits - 3), np.uint8)
-    table[marked["byte"].to_numpy(np.int64)] = marked["mark"].to_numpy(np.uint8)
+    table_bits = max(MARK_BITS, min(MOST_BITS, (BITS_EACH * found).bit_length()))
+    mark = partial(_mark_blocks, bits=table_bits, block_bits=MARK_BITS)
+    blocks = keys.where("n > 0").select("keys").mapInArrow(mark, "block long, marks binary")
+    blocks = blocks.groupBy("block").applyInArrow(_united, "block long, marks binary")
+    table = np.zeros((1 << (table_bits - MARK_BITS), 1 << (MARK_BITS - 3)), np.uint8)
+    for block, marks in blocks.toLocalIterator():
+        table[block] = np.frombuffer(zstandard.decompress(marks), np.uint8)
     again = partial(
         _recount, bits=bits, run_bytes=run_bytes, table=zstandard.compress(table.tobytes(), 3), table_bits=table_bits
     )

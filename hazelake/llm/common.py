@@ -26,6 +26,15 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{name}`") for name in names))
 
 
+def on_plain_names(docs: DataFrame, needed: tuple[str, ...], operator) -> DataFrame:
+    """``operator(docs)``, which keeps the columns of ``docs``, with all but the needed ones under names that clash with nothing.
+
+    So a further column may have a dot in its name, the name of one an operator adds, or that of another column.
+    """
+    plain = [name if name in needed else f"further{i}" for i, name in enumerate(docs.columns)]
+    return operator(docs.toDF(*plain)).select(*plain).toDF(*docs.columns)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

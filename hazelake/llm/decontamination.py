@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazelake.llm.common import BROADCAST_ROWS, checkpointed, hinted, only
+from hazelake.llm.common import BROADCAST_ROWS, checkpointed, hinted, on_plain_names, only
 
 SPAN = 12
 #: Places of the span that each mask ignores.
@@ -169,9 +169,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those that overlap with the benchmark, unchanged."""
-    found = overlaps(docs, benchmark).select(F.col("doc_id").alias("found_id")).distinct()
-    return docs.join(hinted(found), docs["doc_id"].eqNullSafe(F.col("found_id")), "left_anti")
+    """The rows of ``docs`` without those that overlap with the benchmark, unchanged; further columns may have any names."""
+
+    def clean(rows: DataFrame) -> DataFrame:
+        found = overlaps(rows, benchmark).select(F.col("doc_id").alias("found_id")).distinct()
+        return rows.join(hinted(found), rows["doc_id"].eqNullSafe(F.col("found_id")), "left_anti")
+
+    return on_plain_names(docs, ("doc_id", "text"), clean)
 
 
 #: The same in SQL, on the words instead of their hashes.

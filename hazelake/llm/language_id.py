@@ -2,7 +2,7 @@
 
 Every learned language has a raw-content dictionary: whole training texts of that language, lower-cased and put one
 after the other. A text is compressed with each of them; the smallest result names the language, and the relative
-margin to the second smallest says how sure that is.
+margin to the second smallest says how sure that is. Texts of all lengths are judged alike.
 """
 
 from functools import partial
@@ -13,18 +13,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazelake.llm.common import fold_of, only, sliced
+from hazelake.llm.common import fold_of, on_plain_names, only, sliced
 
 UNDETERMINED = "und"
 #: Content of a language's dictionary, at most.
 DICTIONARY_BYTES = 256 << 10
-#: Training texts drawn for a language, on average; its dictionary takes those that fit.
-SAMPLE_ROWS = 1000
-LEVEL = 5
+#: Characters of a training piece; a longer text teaches by several pieces.
+TRAINING_CHARS = 8192
+#: Training pieces drawn for a language, on average; its dictionary takes those that fit.
+SAMPLE_PIECES = 1000
+LEVEL = 9
 #: A text is compressed in pieces, since a long text would otherwise become its own dictionary.
 PIECE_BYTES = 4096
-#: Below this, compressed sizes are too coarse; such a text is judged by the sum over some rotations of its words.
-SHORT_BYTES, ROTATIONS, SHORT_LEVEL = 300, 16, 12
+#: Compressed sizes are whole bytes, so they are summed over rotations of a text's words until this many are compressed.
+LEAST_BYTES = 2400
 #: Below this relative margin ``accepted`` rejects a text.
 NARROW_MARGIN = 0.004
 
@@ -32,25 +34,29 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def learn_dictionaries(
-    docs: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES, sample_rows: int = SAMPLE_ROWS
+    docs: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES, sample_pieces: int = SAMPLE_PIECES
 ) -> dict[str, bytes]:
     """Dictionary by language, from the rows of ``docs(doc_id, text, lang, …)`` outside fold 0.
 
-    A bounded sample: of each language about ``sample_rows`` rows, drawn by a hash of the id, of which whole texts are
-    taken in hash order while they fit into ``dictionary_bytes``. Equal texts are taken once. Rows without language
-    or text teach nothing. What the driver holds is bounded per language by the sample and by the size of a
-    dictionary, which longer texts cannot enter.
+    A bounded sample: of each language about ``sample_pieces`` pieces of texts, drawn by a hash of the id and the place,
+    which are taken in hash order while they fit into ``dictionary_bytes``. Texts of any length teach, piece by piece.
+    Equal pieces are taken once. Rows without language or text teach nothing. What the driver holds is bounded per
+    language by the sample and by the size of a dictionary.
     """
     rows = only(docs, "doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & (fold_of(F.col("doc_id")) != 0) & (F.octet_length("text") > 0)
     )
-    rows = rows.where(F.octet_length("text") < dictionary_bytes // 8)
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    chars = min(TRAINING_CHARS, dictionary_bytes // 8)
+    pieces = F.ceil(F.length("text") / F.lit(chars)).cast("int")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(pieces).alias("n")).collect()}
     if not sizes:
         return {}
-    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample_rows / n))))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.withColumn("draw", draw).where(F.col("draw") < share[F.col("lang")])
+    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample_pieces / n))))
+    draw = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(1 << 30)) / float(1 << 30)
+    dealt = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))).withColumn("draw", draw)
+    sample = dealt.where(F.col("draw") < share[F.col("lang")]).select(
+        "lang", "draw", F.substring("text", F.col("piece") * chars + 1, F.lit(chars)).alias("text")
+    )
     content: dict[str, bytearray] = {lang: bytearray() for lang in sizes}
     seen = set()
     for row in sample.orderBy("draw", "text").toLocalIterator():
@@ -63,35 +69,28 @@ def learn_dictionaries(
 
 
 class Classifier:
-    """Compressors of all languages for two levels."""
+    """Compressors of all languages."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
-        self.long = self._compressors(dictionaries, LEVEL)
-        self.short = self._compressors(dictionaries, SHORT_LEVEL)
-
-    @staticmethod
-    def _compressors(dictionaries, level):
         settings = zstandard.ZstdCompressionParameters.from_level(
-            level, write_content_size=0, write_checksum=0, write_dict_id=0
+            LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0
         )
-        made = []
+        self.compressors = []
         for lang, content in dictionaries.items():
             known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             known.precompute_compress(compression_params=settings)
-            made.append((lang, zstandard.ZstdCompressor(dict_data=known, compression_params=settings)))
-        return made
+            self.compressors.append((lang, zstandard.ZstdCompressor(dict_data=known, compression_params=settings)))
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.long or not _LETTER.search(text):
+        if not text or not self.compressors or not _LETTER.search(text):
             return UNDETERMINED, 0.0
         data = text.lower().encode()
-        if len(data) < SHORT_BYTES:
-            words = data.split()
-            turns = range(0, len(words), -(-len(words) // ROTATIONS))
-            pieces, compressors = [b" ".join(words[i:] + words[:i]) for i in turns], self.short
-        else:
-            pieces, compressors = [data[i : i + PIECE_BYTES] for i in range(0, len(data), PIECE_BYTES)], self.long
-        sizes = sorted((sum(len(c.compress(piece)) for piece in pieces), lang) for lang, c in compressors)
+        pieces = [data[i : i + PIECE_BYTES] for i in range(0, len(data), PIECE_BYTES)]
+        if len(data) < LEAST_BYTES:
+            words = data.split() or [data]
+            turns = min(len(words), -(-LEAST_BYTES // len(data)))
+            pieces = [b" ".join(words[i:] + words[:i]) for i in (k * len(words) // turns for k in range(turns))]
+        sizes = sorted((sum(len(c.compress(piece)) for piece in pieces), lang) for lang, c in self.compressors)
         if len(sizes) == 1:
             return sizes[0][1], 1.0
         return sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0]
@@ -133,6 +132,11 @@ def predict_languages(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, margin: float = NARROW_MARGIN) -> DataFrame:
-    """The rows of ``docs`` whose language is clear, unchanged: texts without letter and narrow margins go."""
-    judged = with_language(docs, learn_dictionaries(docs))
-    return judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= margin)).select(*docs.columns)
+    """The rows of ``docs`` whose language is clear, unchanged: texts without letter and narrow margins go.
+
+    Further columns may have any names.
+    """
+    clear = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= margin)
+    return on_plain_names(
+        docs, ("doc_id", "text", "lang"), lambda rows: with_language(rows, learn_dictionaries(rows)).where(clear)
+    )

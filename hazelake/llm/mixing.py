@@ -13,7 +13,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazelake.llm.common import WORD, checkpointed, hinted, only
+from hazelake.llm.common import WORD, checkpointed, hinted, on_plain_names, only
 
 #: Blocks of a source; at most one of them is put in order document by document.
 BLOCKS = 1024
@@ -150,10 +150,13 @@ def with_copies(docs: DataFrame, plan: DataFrame, blocks: int = BLOCKS) -> DataF
 
 
 def mixed(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, otherwise unchanged."""
-    taken = with_copies(docs, source_plan(docs, **limits))
-    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return taken.where("copies > 0").withColumn("_copy", copy).select(*(F.col(f"`{name}`") for name in docs.columns))
+    """The rows of ``docs`` as often as the mix takes them, otherwise unchanged; further columns may have any names."""
+
+    def taken(rows: DataFrame) -> DataFrame:
+        copies = with_copies(rows, source_plan(rows, **limits), limits.get("blocks", BLOCKS)).where("copies > 0")
+        return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+
+    return on_plain_names(docs, ("doc_id", "text", "source"), taken)
 
 
 def mixing_plan(docs: DataFrame) -> DataFrame:

@@ -24,6 +24,8 @@ from hazelake.llm.common import fold_of, hinted, only, pieces_of, staged
 from hazelake.llm.spans import followed, span_hashes
 
 BITS = 20
+#: Slots whose counts are one value when they are added up.
+BLOCK = 1 << 12
 #: A document is of quality from this score on.
 LEAST_SCORE = 0.3
 #: Fold 0 is held out; the curve is fitted on this one.
@@ -114,30 +116,43 @@ def _rows_of(column):
 
 
 def _count(batches):
-    """Per task: in how many texts of each label an indicator stands; slot -1 counts the texts."""
-    total, texts = np.zeros((2, 1 << BITS), np.int32), np.zeros(2, np.int64)
+    """Per task: in how many texts of each label every slot's indicator stands, in blocks; the slot behind all counts texts."""
+    total = np.zeros((2, (1 << BITS) + BLOCK), np.int64)
     for batch in batches:
         labels = np.asarray(batch.column(1))
-        texts += np.bincount(labels, minlength=2)
+        total[:, 1 << BITS] += np.bincount(labels, minlength=2)
         for first, rows, found in _rows_of(batch.column(0)):
             of = labels[first : first + rows][found >> BITS]
             for label in range(2):
-                np.add.at(total[label], found[of == label] & ((1 << BITS) - 1), 1)
-    for label in range(2):
-        seen = np.flatnonzero(total[label])
-        slots, n = np.append(seen, -1), np.append(total[label, seen], texts[label])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(slots), label, np.int32)), pa.array(slots.astype(np.int32)), pa.array(n.astype(np.int64))],
-            names=["label", "slot", "n"],
-        )
+                total[label] += np.bincount(found[of == label] & ((1 << BITS) - 1), minlength=total.shape[1])
+    blocks = [(label, block) for label in range(2) for block in range(total.shape[1] // BLOCK)]
+    parts = [total[label, block * BLOCK : (block + 1) * BLOCK] for label, block in blocks]
+    held = [i for i, part in enumerate(parts) if part.any()]
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array([blocks[i][0] for i in held], pa.int32()),
+            pa.array([blocks[i][1] for i in held], pa.int32()),
+            pa.array([zstandard.compress(parts[i].tobytes(), 1) for i in held], pa.binary()),
+        ],
+        names=["label", "block", "counts"],
+    )
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """The counts of one block in all tasks."""
+    total = np.zeros(BLOCK, np.int64)
+    for counts in table["counts"].to_pylist():
+        total += np.frombuffer(zstandard.decompress(counts), np.int64)
+    return table.slice(0, 1).set_column(2, "counts", pa.array([zstandard.compress(total.tobytes(), 3)], pa.binary()))
 
 
 def _slots_of(batches):
-    """``doc_id, label, fold, slots``: the indicators of each text."""
+    """``mark, label, fold, slots``: the indicators of each text."""
     for batch in batches:
         for first, rows, found in _rows_of(batch.column(3)):
             bounds = np.searchsorted(found, np.arange(rows + 1) << BITS)
-            slots = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((found & ((1 << BITS) - 1)).astype(np.int32)))
+            every = (found & ((1 << BITS) - 1)).astype("<i4")
+            slots = pa.array([every[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i).slice(first, rows) for i in range(3)), slots], names=["mark", "label", "fold", "slots"]
             )
@@ -231,12 +246,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     other labels are ignored. With one label only every score is that label, without any it is 0.5.
     """
     rows = _labelled(docs, labels)
-    counted = rows.select("text", "label").mapInArrow(_count, "label int, slot int, n long")
-    counted = counted.groupBy("label", "slot").agg(F.sum("n").alias("n")).toPandas()
-    label, slot, n = (counted[c].to_numpy(np.int64) for c in ("label", "slot", "n"))
-    counts, texts = np.zeros((2, 1 << BITS)), np.zeros(2)
-    counts[label[slot >= 0], slot[slot >= 0]] = n[slot >= 0]
-    texts[label[slot < 0]] = n[slot < 0]
+    blocks = rows.select("text", "label").mapInArrow(_count, "label int, block int, counts binary")
+    blocks = blocks.groupBy("label", "block").applyInArrow(_added, blocks.schema)
+    counts = np.zeros((2, (1 << BITS) + BLOCK))
+    for label, block, packed in blocks.toLocalIterator():
+        counts[label, block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(zstandard.decompress(packed), np.int64)
+    texts, counts = counts[:, 1 << BITS].copy(), counts[:, : 1 << BITS]
     ratios = log_count_ratios(counts[1], counts[0])
     if not texts.all():
         return Model(ratios, np.zeros(1 << BITS), 0.0, 0.0 if not texts.any() else 30.0 if texts[1] else -30.0, 0.0)
@@ -246,17 +261,22 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     marks = staged(drawn.select("mark", "label").distinct(), "sample")
     heads = [marks.where(F.col("label") == k).select("mark").orderBy("mark").limit(SAMPLE_TEXTS) for k in range(2)]
     chosen = drawn.join(F.broadcast(heads[0].union(heads[1]).distinct()), "mark").dropDuplicates(["mark"])
-    sample = chosen.mapInArrow(_slots_of, "mark long, label int, fold int, slots array<int>").toPandas().sort_values("mark")
-    sizes = sample["slots"].map(len).cumsum()
-    sample = sample[sizes <= SAMPLE_INDICATORS]
-    examples = [np.asarray(x, np.int64) for x in sample["slots"]]
-    y = np.where(sample["label"].to_numpy() == 1, 1.0, -1.0)
+    sample = chosen.mapInArrow(_slots_of, "mark long, label int, fold int, slots binary")
+    examples, signs, folds, size = [], [], [], 0
+    for _, label, fold, slots in sample.orderBy("mark").toLocalIterator():
+        size += len(slots) // 4
+        if size > SAMPLE_INDICATORS:
+            break
+        examples.append(np.frombuffer(slots, "<i4"))
+        signs.append(1.0 if label == 1 else -1.0)
+        folds.append(fold)
+    y = np.array(signs)
     own = np.array([(y < 0).sum(), (y > 0).sum()])
     if not own.all():
         return Model(ratios, np.zeros(1 << BITS), 0.0, 30.0 if texts[1] > texts[0] else -30.0, 0.0)
     balance = len(y) / (2 * own)
     costs = COST * np.where(y > 0, balance[1], balance[0])
-    others = sample["fold"].to_numpy() != CURVE_FOLD
+    others = np.array(folds) != CURVE_FOLD
 
     def machine(of: np.ndarray) -> tuple[np.ndarray, float]:
         some = np.flatnonzero(of)

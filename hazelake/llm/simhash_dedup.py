@@ -5,9 +5,6 @@ covering radius 3 of exactly one codeword. The pair of codewords next to a finge
 within t bits of another lies, segment by segment, within the covering radius plus the bits by which the two differ
 there of the other's anchor. So every distinct fingerprint stays at home at its own anchor and visits each anchor whose
 covering radius it exceeds by t bits in all; at an anchor, homes are compared with visitors, on all 64 bits.
-
-For a larger threshold the way may be shared: two fingerprints at t bits have one between them at any split of t, whose
-anchor both reach by their part of the bits (``staying`` and the rest).
 """
 
 from functools import cache, partial, reduce
@@ -15,20 +12,14 @@ from functools import cache, partial, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazelake.llm.common import checkpointed, hinted, only, sliced, staged
+from hazelake.llm.common import checkpointed, hinted, on_plain_names, only, sliced, staged
 from hazelake.llm.components import components
 
 #: Words of a shingle, and differing bits of linked fingerprints.
 SHINGLE, THRESHOLD = 3, 2
-#: The pipeline's stage links texts of Jaccard similarity ``SIMILAR / OF`` and more on shingles of so many words.
-STAGE_SHINGLE, SIMILAR, OF = 5, 4, 5
-#: Of hashes below ``LOW``, those in more than so many texts come last in prefixes; at most so many are known.
-LOW, FREQUENT, MOST_KNOWN = np.uint64(int(0.3 * 2**64)), 16, 250_000
-#: Odd factor that mixes the hashes of words.
-MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bits beyond the covering radius for which anchors are tabulated.
 BEYOND = 2
 SEED = 42
@@ -38,6 +29,8 @@ LENGTH, CHECKS, GENERATOR = 23, 11, 0b101011100011
 SEGMENTS = (0, 23)
 #: Shingles whose bits are counted at a time.
 RUN = 1 << 16
+#: Distinct fingerprints that one task replicates to their anchors.
+FINGERPRINTS_PER_TASK = 1 << 14
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -115,43 +108,20 @@ def _replicate(batches, beyond: int):
         yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(np.concatenate(found))], names=["bits", "anchor"])
 
 
-def links(classes: DataFrame, threshold: int = THRESHOLD, staying: int = 0) -> DataFrame:
-    """``a < b`` for the pairs of the distinct fingerprints of ``classes(bits)`` that differ in so few bits, each once.
-
-    Two that share several anchors are a pair at only one of them: that of ``a`` with the first ``staying`` bits changed
-    in which ``b`` differs.
-    """
-    if not 0 <= staying <= threshold - staying <= BEYOND:
-        raise ValueError(f"Neither part of the threshold may exceed {BEYOND} bits")
+def links(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``a < b`` for the pairs of the distinct fingerprints of ``classes(bits)`` that differ in so few bits, each once."""
+    if not 0 <= threshold <= BEYOND:
+        raise ValueError(f"The threshold may not exceed {BEYOND} bits")
+    tasks = classes.count() // FINGERPRINTS_PER_TASK + 1
+    dealt = classes.select("bits").repartition(tasks, "bits")
 
     def at_anchors(beyond: int, name: str) -> DataFrame:
-        rows = classes.select("bits").mapInArrow(partial(_replicate, beyond=beyond), "bits long, anchor long")
+        rows = dealt.mapInArrow(partial(_replicate, beyond=beyond), "bits long, anchor long")
         return rows.withColumnRenamed("bits", name)
 
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
-    pairs = at_anchors(staying, "a").join(at_anchors(threshold - staying, "b"), "anchor")
-    pairs = pairs.where(near & (F.col("a") < F.col("b")))
-    if staying:
-        covered = F.lit((1 << LENGTH * len(SEGMENTS)) - 1)
-        between, differs = F.col("a"), F.col("a").bitwiseXOR(F.col("b")).bitwiseAND(covered)
-        for _ in range(staying):
-            lowest = differs.bitwiseAND(-differs)
-            between, differs = between.bitwiseXOR(lowest), differs.bitwiseXOR(lowest)
-        pairs = pairs.where(F.col("anchor") == _own_anchor(between))
-    return pairs.select("a", "b")
-
-
-def _own_anchor(bits: Column) -> Column:
-    """The anchor next to a fingerprint, as :func:`anchors_of` has it first."""
-    leaders = F.array(*(F.lit(int(x[0])) for x in anchor_offsets()[0]))
-    words = []
-    for first in SEGMENTS:
-        word = F.shiftrightunsigned(bits, first).bitwiseAND(F.lit((1 << LENGTH) - 1))
-        checks = (F.lit(int(c)) for c in _syndrome(1 << np.arange(LENGTH)))
-        set_checks = (F.when(word.bitwiseAND(F.lit(1 << i)) != 0, c).otherwise(F.lit(0)) for i, c in enumerate(checks))
-        syndrome = reduce(lambda a, b: a.bitwiseXOR(b), set_checks)
-        words.append(word.bitwiseXOR(F.element_at(leaders, (syndrome + 1).cast("int")).cast("long")))
-    return F.shiftleft(words[0], LENGTH).bitwiseOR(words[1])
+    pairs = at_anchors(0, "a").join(at_anchors(threshold, "b"), "anchor")
+    return pairs.where(near & (F.col("a") < F.col("b"))).select("a", "b")
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -159,10 +129,10 @@ def _marked(docs: DataFrame) -> DataFrame:
     return only(docs, "doc_id", "text").mapInArrow(_fingerprints, f"doc_id {id_type}, bits long")
 
 
-def _grouped(marked: DataFrame, threshold: int, staying: int) -> DataFrame:
+def _grouped(marked: DataFrame, threshold: int) -> DataFrame:
     """``bits, root, component_id`` of each distinct fingerprint of ``marked(doc_id, bits)``."""
     classes = checkpointed(marked.groupBy("bits").agg(F.min("doc_id").alias("first")))
-    found = components(links(classes, threshold, staying))
+    found = components(links(classes, threshold))
     rooted = classes.join(found, classes["bits"] == found["node"], "left").select(
         "bits", "first", F.coalesce("root", "bits").alias("root")
     )
@@ -170,7 +140,7 @@ def _grouped(marked: DataFrame, threshold: int, staying: int) -> DataFrame:
     return rooted.join(least, "root").select("bits", "root", "component_id")
 
 
-def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, staying: int = 0) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row of ``docs(doc_id, text, …)``.
 
     Words are split at ASCII blanks after A-Z were lower-cased. Null and empty texts have fingerprint 0 and are linked
@@ -178,170 +148,48 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, staying: int =
     never the smallest of a component, unless there is no other.
     """
     marked = staged(_marked(docs), "fingerprints")
-    return marked.join(_grouped(marked, threshold, staying), "bits").select(
+    return marked.join(_grouped(marked, threshold), "bits").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def shingle_hashes(text: str | None, shingle: int = STAGE_SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the shingles, put together from the hashes of their words; one without words."""
-    words = (text or "").encode().lower().split()
-    width = max(1, min(shingle, len(words)))
-    hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words] or [0], np.uint64)
-    total = np.zeros(len(hashes) - width + 1, np.uint64)
-    for k in range(width):
-        total = (total ^ hashes[k : len(total) + k]) * MIX
-        total ^= total >> np.uint64(29)
-    return np.unique(total)
-
-
-def text_class(text: str | None) -> int:
-    """The same number for texts of the same words, unlike for others but for collisions of 64 bits."""
-    return xxhash.xxh3_64_intdigest(b" ".join((text or "").encode().lower().split()), SEED)
-
-
-def _classes_of(texts) -> np.ndarray:
-    return np.array([text_class(t) for t in texts.to_pylist()], np.uint64).view(np.int64)
-
-
-def _with_class(batches, text_at: int, names: list[str]):
-    """``names`` are the columns that stay, by their place; the last column becomes the class of the text."""
+def _with_fingerprint(batches, text_at: int):
     for batch in sliced(batches, 512):
-        kept = [batch.column(i) for i in range(batch.num_columns) if names[i]]
-        yield pa.RecordBatch.from_arrays(
-            [*kept, pa.array(_classes_of(batch.column(text_at)))], names=[*(n for n in names if n), "_class"]
-        )
-
-
-def _classed(docs: DataFrame, *names: str) -> DataFrame:
-    """The named columns of ``docs`` and ``_class`` of its ``text``."""
-    types = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names]
-    kept = [name if name in names else "" for name in docs.columns]
-    run = partial(_with_class, text_at=docs.columns.index("text"), names=kept)
-    return docs.mapInArrow(run, ", ".join([*types, "_class long"]))
-
-
-def _low_shingles(batches):
-    """Hashes of the lowest part of the range, where nearly all prefixes lie."""
-    for batch in sliced(batches, 256):
-        found = [x[: np.searchsorted(x, LOW)] for x in map(shingle_hashes, batch.column(0).to_pylist())]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["shingle"])
-
-
-def _prefixes(batches, hot: np.ndarray, counts: np.ndarray):
-    for batch in sliced(batches, 256):
-        texts, found, sizes = batch.column(0), [], []
-        for hashes in map(shingle_hashes, texts.to_pylist()):
-            most = len(hashes) - (SIMILAR * len(hashes) + OF - 1) // OF + 1
-            if len(hot):
-                at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
-                hashes = hashes[np.argsort(np.where(hot[at] == hashes, counts[at], 0), kind="stable")]
-            found.append(hashes[:most])
-            sizes.append(len(hashes))
-        lengths = [len(x) for x in found]
-        columns = [np.concatenate(found).view(np.int64), np.repeat(_classes_of(texts), lengths), np.repeat(sizes, lengths)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c.astype(np.int64)) for c in columns], names=["shingle", "class", "size"]
-        )
-
-
-def _sets(batches):
-    for batch in sliced(batches, 256):
-        texts = batch.column(0)
-        found = [x.view(np.int64) for x in map(shingle_hashes, texts.to_pylist())]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(_classes_of(texts)), pa.array(found, pa.list_(pa.int64()))], names=["class", "shingles"]
-        )
-
-
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the distinct ``pairs(a, b)`` of classes whose texts are similar, by all their shingles."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("_needed")).distinct()
-    texts = docs.join(hinted(needed), docs["_class"] == F.col("_needed"), "left_semi").select("text")
-    sets = staged(texts.mapInArrow(_sets, "class long, shingles array<long>").dropDuplicates(["class"]), "shingles")
-    first = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
-    second = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    alike = OF * common >= SIMILAR * (F.size("x") + F.size("y") - common)
-    return pairs.join(first, "a").join(second, "b").where(alike).select("a", "b")
-
-
-def similar_texts(docs: DataFrame) -> DataFrame:
-    """``class, root`` of each class of equal words in ``docs(text, _class)``: the groups that similar texts link.
-
-    Complete, by prefixes: under any one order of all shingles, two sets of Jaccard similarity >= 4/5 share a shingle
-    among the first fifth (and one) of each. The order is by hash, but shingles known to be frequent come last, so that
-    common passages rarely pair texts. Which are known is bounded and matters to the number of candidates only.
-    Every candidate is compared on all its shingles. A class is first compared with the smallest one at each of its
-    shingles; then only classes of different groups are, so that a large group of near copies is not squared.
-    """
-    texts = docs.select("text")
-    seen = texts.mapInArrow(_low_shingles, "shingle long").groupBy("shingle").count().where(F.col("count") > FREQUENT)
-    frequent = seen.orderBy(F.desc("count"), "shingle").limit(MOST_KNOWN).toPandas()
-    hot, counts = frequent["shingle"].to_numpy(np.int64).view(np.uint64), frequent["count"].to_numpy(np.int64)
-    order = np.argsort(hot)
-    prefixes = texts.mapInArrow(
-        partial(_prefixes, hot=hot[order], counts=counts[order]), "shingle long, class long, size long"
-    )
-    prefixes = prefixes.dropDuplicates(["shingle", "class"])
-    prefixes = staged(prefixes, "prefixes")
-    shared = prefixes.groupBy("shingle").agg(
-        F.min("class").alias("a"), F.max("class").alias("last"), F.min_by("size", "class").alias("first_size")
-    )
-    shared = staged(shared.where("a < last").drop("last"), "shared-shingles")
-    together = staged(prefixes.join(shared, "shingle"), "shared-prefixes")
-    smaller, larger = F.least("size", "first_size"), F.greatest("size", "first_size")
-    to_first = together.where((F.col("a") < F.col("class")) & (OF * smaller >= SIMILAR * larger))
-    to_first = checkpointed(to_first.select("a", F.col("class").alias("b")).distinct())
-    linked = checkpointed(_verified(to_first, docs))
-    found = components(linked)
-    rooted = together.join(found, F.col("class") == F.col("node"), "left").select(
-        "shingle", "class", "size", F.coalesce("root", "class").alias("root")
-    )
-    rooted = staged(rooted, "rooted")
-    mixed = rooted.groupBy("shingle").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s")
-    rooted = rooted.join(mixed.select("shingle"), "shingle")
-    x, y = rooted.alias("x"), rooted.alias("y")
-    near_size = OF * F.least("x.size", "y.size") >= SIMILAR * F.greatest("x.size", "y.size")
-    across = x.join(
-        y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & near_size
-    )
-    across = across.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    across = checkpointed(across.join(to_first, ["a", "b"], "left_anti"))
-    found = components(linked.unionByName(_verified(across, docs)))
-    return (
-        docs.select(F.col("_class").alias("class")).distinct()
-        .join(found, F.col("class") == F.col("node"), "left")
-        .select("class", F.coalesce("root", "class").alias("root"))
-    )
+        found = np.array([fingerprint(text) for text in batch.column(text_at).to_pylist()], "<u8").view(np.int64)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, "_bits"])
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
-    """One row of each group of near-duplicates of ``docs``, unchanged: the one with the smallest id.
+def _fingerprinted(docs: DataFrame) -> DataFrame:
+    """``docs`` and ``_bits``, the fingerprint of each row."""
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(partial(_with_fingerprint, text_at=docs.columns.index("text")), f"{types}, _bits long")
 
-    Rows of Jaccard similarity >= 4/5 on shingles of five words are linked (:func:`similar_texts`). Of several rows of a
-    group with that id, and in a group without any id, one row stays; an id may be the smallest of several groups. Of
-    the texts of whole rows only those of repeated or missing ids are shuffled.
-    """
-    marked = staged(_classed(only(docs, "doc_id", "text"), "doc_id"), "classes")
-    rooted = checkpointed(similar_texts(_classed(only(docs, "text"), "text")))
-    of_rows = marked.join(rooted, marked["_class"] == rooted["class"])
-    least = of_rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    groups = checkpointed(rooted.join(least, "root"))
-    of_rows = marked.where("doc_id is not null").join(groups, F.col("_class") == F.col("class"))
+
+def _one_per_group(docs: DataFrame, threshold: int) -> DataFrame:
+    marked = staged(_marked(docs), "fingerprints")
+    groups = staged(_grouped(marked, threshold), "groups")
+    of_rows = marked.where("doc_id is not null").join(groups, "bits")
     ids = of_rows.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows"), F.max(F.col("component_id") == F.col("doc_id")).alias("first")
     )
     odd = checkpointed(ids.where("rows > 1 or not first"))
     once = docs.where("doc_id is not null").join(hinted(odd.select("doc_id")), "doc_id", "left_anti")
     leading = of_rows.where(F.col("component_id") == F.col("doc_id")).join(odd.select("doc_id"), "doc_id")
-    leading = leading.select(
-        F.col("doc_id").alias("_id"), F.col("_class").alias("_first"), F.col("root").alias("_root")
-    ).distinct()
-    repeated = _classed(docs.join(hinted(odd.where("first").select("doc_id")), "doc_id", "left_semi"), *docs.columns)
-    of_first = (F.col("doc_id") == F.col("_id")) & (F.col("_class") == F.col("_first"))
+    leading = leading.select(F.col("doc_id").alias("_id"), F.col("bits").alias("_first"), F.col("root").alias("_root")).distinct()
+    repeated = _fingerprinted(docs.join(hinted(odd.where("first").select("doc_id")), "doc_id", "left_semi"))
+    of_first = (F.col("doc_id") == F.col("_id")) & (F.col("_bits") == F.col("_first"))
     repeated = repeated.join(hinted(leading), of_first).dropDuplicates(["_root"])
-    lone = groups.where("component_id is null").select(F.col("class").alias("_lone"), F.col("root").alias("_root"))
-    without = _classed(docs.where("doc_id is null"), *docs.columns)
-    without = without.join(hinted(lone), F.col("_class") == F.col("_lone")).dropDuplicates(["_root"])
+    lone = groups.where("component_id is null").select(F.col("bits").alias("_lone"), F.col("root").alias("_root"))
+    without = _fingerprinted(docs.where("doc_id is null"))
+    without = without.join(hinted(lone), F.col("_bits") == F.col("_lone")).dropDuplicates(["_root"])
     return reduce(DataFrame.unionByName, (part.select(*docs.columns) for part in (once, repeated, without)))
+
+
+def one_per_group(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """One row of each group of :func:`near_duplicates` of ``docs``, unchanged: the one with the smallest id.
+
+    Of several rows of a group with that id, and in a group without any id, one row stays; an id may be the smallest of
+    several groups. Of the texts of whole rows only those of repeated or missing ids are read twice. Further columns may
+    have any names.
+    """
+    return on_plain_names(docs, ("doc_id", "text"), lambda rows: _one_per_group(rows, threshold))

@@ -11,6 +11,9 @@ import xxhash
 from tokenizers import Tokenizer
 
 from hazelake.llm import fm_index, simhash_dedup, substring_dedup, token_shards
+from hazelake.llm.decontamination import decontaminated
+from hazelake.llm.language_id import accepted
+from hazelake.llm.mixing import mixed
 from hazelake.llm.token_counts import token_counts
 
 LONG = "word " * 40_000
@@ -99,8 +102,8 @@ def roots(nodes, linked):
     return {n: root(n) for n in nodes}
 
 
-@pytest.mark.parametrize(("threshold", "staying"), [(2, 0), (4, 2)])
-def test_near_texts(docs, threshold, staying):
+@pytest.mark.parametrize("threshold", [1, 2])
+def test_near_texts(docs, threshold):
     rows = [(i, plain_fingerprint(t)) for i, t in pairs(docs)]
     marks = sorted({m for _, m in rows})
     linked = [(a, b) for i, a in enumerate(marks) for b in marks[:i] if (a ^ b).bit_count() <= threshold]
@@ -110,7 +113,7 @@ def test_near_texts(docs, threshold, staying):
         if i is not None:
             least[root[m]] = min(i, least.get(root[m], i))
     wanted = [(i, f"{m:016x}", least.get(root[m])) for i, m in rows]
-    found = [tuple(r) for r in simhash_dedup.near_duplicates(docs, threshold, staying).collect()]
+    found = [tuple(r) for r in simhash_dedup.near_duplicates(docs, threshold).collect()]
     assert sorted(found, key=str) == sorted(wanted, key=str)
 
 
@@ -120,12 +123,12 @@ def test_anchors_meet_all_close_fingerprints(spark):
     near = [int(b) ^ sum(1 << int(i) for i in pick.choice(63, n, replace=False)) for b in base for n in (1, 2, 4)]
     marks = sorted({int(x) for x in base} | set(near))
     classes = spark.createDataFrame([(m,) for m in marks], "bits long")
-    for threshold, staying in ((2, 0), (2, 1), (4, 2)):
+    for threshold in (0, 1, 2):
         wanted = {(a, b) for a in marks for b in marks if a < b and (a ^ b).bit_count() <= threshold}
-        found = [tuple(r) for r in simhash_dedup.links(classes, threshold, staying).collect()]
+        found = [tuple(r) for r in simhash_dedup.links(classes, threshold).collect()]
         assert set(found) == wanted and len(found) == len(wanted)
     with pytest.raises(ValueError):
-        simhash_dedup.links(classes, 6, 2)
+        simhash_dedup.links(classes, 3)
 
 
 def test_one_text_of_each_group_stays(frame):
@@ -149,20 +152,27 @@ def test_each_group_of_a_repeated_id_keeps_a_text(frame):
 
 
 def test_near_copies_go_and_others_stay(documents, frame):
-    """Each pair of Jaccard similarity >= 4/5 on five words is linked, whatever its fingerprints, and no other."""
-
-    def shingles(text):
-        words = (text or "").encode().lower().split()
-        return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or frozenset([tuple(words)])
-
-    base = [f"w{i}" for i in range(100)]
-    rows = [(100_000 + k, " ".join(f"z{i}" if i in range(7, 7 + 12 * k, 12) else w for i, w in enumerate(base))) for k in range(5)]
-    rows += [(100_100 + k, " ".join([*base[:50], *(f"u{k}-{i}" for i in range(k))])) for k in range(0, 16, 3)]
-    rows += pairs(documents)
-    sets = {i: shingles(t) for i, t in rows}
-    linked = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
-    found = {r.doc_id for r in simhash_dedup.one_per_group(frame(rows)).collect()}
-    assert found == set(roots(sets, linked).values())
+    """Of each group that fingerprints at 2 bits link, the document with the smallest id stays."""
+    base = [f"w{i}" for i in range(400)]
+    rows = [(100_000 + k, " ".join(base[: 400 - k])) for k in range(5)] + pairs(documents)
+    marks = {i: plain_fingerprint(t) for i, t in rows}
+    linked = [(a, b) for a in marks for b in marks if a < b and (marks[a] ^ marks[b]).bit_count() <= 2]
+    found = [r.doc_id for r in simhash_dedup.one_per_group(frame(rows)).collect()]
+    assert sorted(found) == sorted(set(roots(marks, linked).values()))
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Names that operators add, with dots, and twice: rows come through whole."""
+    names = ["doc_id", "text", "lang", "source", "n_chars", "_copy", "_source", "_bits", "found_id", "a.b", "Doc_Id", "score", "root"]
+    words = "the people of this country and the house were there with all that they had "
+    rows = [(i, f"{words} {i} " * 4, "en", "s", i, f"c{i}", i, i, i, f"d{i}", f"e{i}", f"f{i}", f"g{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, [f"n{i}" for i in range(len(names))]).toDF(*names)
+    benchmark = spark.createDataFrame([(1, "nothing of the kind stands anywhere")], "item_id long, text string")
+    for stage in (accepted, simhash_dedup.one_per_group, lambda d: decontaminated(d, benchmark), mixed):
+        kept = stage(docs)
+        assert kept.columns == names
+        found = [tuple(r) for r in kept.collect()]
+        assert found and set(found) <= set(rows)
 
 
 def plain_substring_dedup(rows):
