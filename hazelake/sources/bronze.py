@@ -19,7 +19,8 @@ from hazelake.sources.paths import child, file_listing
 
 BRONZE_SCHEMAS = {DAILY_SOURCE: DAILY_BRONZE, STATION_SOURCE: STATION_BRONZE}
 
-# How JSON lies in a file. ``lines``: one object per line; a line that does not parse spoils only itself.
+# How JSON lies in a file. ``lines``: one object per line; a line that does not parse spoils only itself, and is
+# a reject where rejects are asked for.
 # ``document``: one object or array per file, any formatting, one task per file. ``indented``: an array of
 # objects written with an indent of two, which can be split like lines. Text that the latter two cannot
 # account for fails the read, so that no record is lost unseen.
@@ -143,18 +144,19 @@ def snapshot_at(spark: SparkSession, path: str) -> Snapshot:
 def _layout(spark: SparkSession, path: str, is_file: bool) -> str:
     """Layout of a dump. A folder holds lines, whatever its files are called.
 
-    A file whose first line with text begins an object and does not consist of the brace alone holds lines.
-    One that begins like an array indented by two is read as such, and fails if it does not go on like that.
-    Everything else is a document.
+    A file holds lines if its first line with text is an object by itself; the first line of a longer object is not.
+    One that begins like an array indented by two is read as such, and fails if it does not go on like that. Everything
+    else is a document, which fails unless it is one JSON value.
     """
     if not is_file:
         return LINES
     line = F.translate("value", "\ufeff", "")
     lines = spark.read.option("lineSep", "\n").text(path).filter(F.trim(F.translate("value", "\ufeff\r\t", "")) != "")
-    head = [row.start for row in lines.select(F.left(line, F.lit(4)).alias("start")).head(2)]
-    if head and head[0].lstrip().startswith("{") and head[0].strip() != "{":
+    whole = F.ltrim(line).startswith("{") & F.try_parse_json(line).isNotNull()
+    head = lines.select(F.left(line, F.lit(4)).alias("start"), whole.alias("whole")).head(2)
+    if head and head[0].whole and head[0].start.strip() != "{}":
         return LINES
-    return INDENTED if head == ["[", "  {"] else DOCUMENT
+    return INDENTED if [row.start for row in head] == ["[", "  {"] else DOCUMENT
 
 
 def latest_snapshot(spark: SparkSession, bronze_base: str, source: str) -> Snapshot:

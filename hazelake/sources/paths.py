@@ -45,18 +45,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return child(base, "hazelake", f"{name}-{uuid.uuid4().hex}")
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(str(path))
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything at ``path``."""
-    file_system, hadoop_path = _file_system(spark, path)
-    return file_system.exists(hadoop_path) and len(file_system.listStatus(hadoop_path)) > 0
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists; nothing but the folder itself is looked at."""
+    try:
+        spark.read.schema("value string").text(str(path))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder this library staged, on whichever file system it lies."""
-    file_system, hadoop_path = _file_system(spark, path)
-    file_system.delete(hadoop_path, True)
+def clear_folder(spark: SparkSession, path: str) -> None:
+    """Empty a folder this library staged: Spark puts an empty table in the place of what it holds."""
+    spark.createDataFrame([], "value string").coalesce(1).write.mode("overwrite").text(str(path))

@@ -3,13 +3,14 @@
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from hazelake.operators.rows import one_per_reading
 from hazelake.operators.standardize import with_date_columns, with_risk
 from hazelake.schemas import PARTITION_COLUMNS, SILVER, SILVER_COLUMNS
-from hazelake.sources.paths import child, has_files, remove_folder
+from hazelake.sources.paths import child, clear_folder, exists, file_listing
 
 
 # Up to this many folder names, a few megabytes, are sent to every task of a merge. Beyond it Spark joins
@@ -17,6 +18,10 @@ from hazelake.sources.paths import child, has_files, remove_folder
 _MOST_BROADCAST_PARTITIONS = 100_000
 # Up to this many days are stated as values in the partition filter of a merge.
 _MOST_LISTED_DAYS = 2_000
+# Staged rows; the last column is that of a compaction.
+_STAGED = StructType([*SILVER.fields, StructField("_bin", IntegerType())])
+# A file that a compaction writes holds about so many bytes.
+COMPACT_FILE_BYTES = 128 * 1024 * 1024
 
 
 def write_partitioned(
@@ -48,13 +53,19 @@ def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> int:
 
     An overwrite replaces only the partitions that receive rows: the writer asks for that itself, so
     the other source's partitions survive whatever the session says. The count is taken by the write.
-    It is observed in the stage that writes, where Spark counts each task once even if it is repeated.
+    A merge that failed after it was staged is finished first, so that it cannot undo this write later.
     """
     missing = [name for name in PARTITION_COLUMNS if name not in df.columns]
     if missing:
         raise ValueError(f"Missing required silver partition columns: {missing}")
+    settle_merge(df.sparkSession, path)
+    return _write(clustered_for_write(df), path, mode)
+
+
+def _write(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """Write rows as they are dealt out; the count is observed in the stage that writes, once for each task."""
     written = Observation()
-    rows = clustered_for_write(df).observe(written, F.count(F.lit(1)).alias("rows"))
+    rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*PARTITION_COLUMNS).parquet(str(path))
     return written.get.get("rows", 0)
@@ -92,13 +103,65 @@ def _touched_only(old: DataFrame, touched: DataFrame, partitions: int) -> DataFr
     return old.join(touched, PARTITION_COLUMNS, "left_semi")
 
 
-def _finish(spark: SparkSession, staging: str, path: str) -> int:
-    """Write a merge that was staged completely, and clear its staging folder."""
-    rows = write_silver(spark.read.schema(SILVER).parquet(child(staging, "merged")), path)
-    remove_folder(spark, staging)
+def _staging(path: str) -> str:
+    """The folder beside a dataset in which merges are staged."""
+    return f"{str(path).rstrip('/')}__merge"
+
+
+def _marked_rows(spark: SparkSession, path: str) -> int | None:
+    """Rows of a merge that is staged completely but not known to be written; None without such a merge."""
+    mark = child(_staging(path), "mark")
+    found = spark.read.text(mark).limit(1).collect() if exists(spark, mark) else []
+    return int(found[0].value) if found else None
+
+
+def _stage_and_replace(rows: DataFrame, path: str) -> int:
+    """Stage whole partitions beside the dataset, mark them as complete, and put them in the place of the old ones."""
+    spark, staging = rows.sparkSession, _staging(path)
+    counted = Observation()
+    staged = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+    staged.write.mode("overwrite").parquet(child(staging, "merged"))
+    mark = spark.createDataFrame([(str(counted.get.get("rows", 0)),)], "value string").coalesce(1)
+    mark.write.mode("overwrite").text(child(staging, "mark"))
+    return _replace(spark, path)
+
+
+def _replace(spark: SparkSession, path: str) -> int:
+    """Write the partitions that are staged, take the mark off, and only then clear the staged rows.
+
+    Rows of a compaction carry the bin that becomes their file; those of a merge have none.
+    """
+    staging = _staging(path)
+    staged = spark.read.schema(_STAGED).parquet(child(staging, "merged"))
+    if staged.where("_bin is not null").limit(1).count():
+        dealt = staged.repartition(*PARTITION_COLUMNS, "_bin")
+        rows = _write(dealt.sortWithinPartitions(*PARTITION_COLUMNS, "_bin", "pollutant").drop("_bin"), path)
+    else:
+        rows = _write(clustered_for_write(staged.drop("_bin")), path)
+    clear_folder(spark, child(staging, "mark"))
+    clear_folder(spark, child(staging, "merged"))
     return rows
 
 
+def settle_merge(spark: SparkSession, path: str) -> int | None:
+    """Finish a merge of this dataset that failed while its partitions were replaced; None if there is none.
+
+    Every write of this library does so first. The staged rows are counted against the mark before anything is
+    replaced: if some are missing the dataset is left alone and the error says so.
+    """
+    marked = _marked_rows(spark, path)
+    if marked is None:
+        return None
+    merged = child(_staging(path), "merged")
+    found = spark.read.schema(SILVER).parquet(merged).count() if exists(spark, merged) else 0
+    if found != marked:
+        raise RuntimeError(
+            f"The merge staged in {_staging(path)} should hold {marked} rows but holds {found}. Its partitions in {path} may "
+            "be incomplete: restore the staged rows, or remove the mark and ingest these days again"
+        )
+    return _replace(spark, path)
+
+
 def merge_silver(df: DataFrame, path: str) -> int:
     """Add rows to the partitions they touch instead of replacing these; returns the rows written.
 
@@ -106,33 +169,61 @@ def merge_silver(df: DataFrame, path: str) -> int:
     cleaning both dumps together would give, in whatever order they arrive and however often.
 
     The new rows and the merged partitions are staged in a folder beside the dataset, named after it. Once the
-    merged partitions are complete a mark says so. A failure before the mark leaves the dataset as it was; one
-    after it, while folders are replaced, is mended by the next merge, which first repeats the marked write. One
-    merge at a time may run on a dataset.
+    merged partitions are complete a mark says so and how many rows they hold. A failure before the mark leaves the
+    dataset as it was; after one behind it the next write of any kind first repeats the marked write. The mark goes
+    before the staged rows do, so that nothing is repeated from a part of them. One writer at a time may work on a dataset.
     """
     spark = df.sparkSession
-    staging = f"{str(path).rstrip('/')}__merge"
-    if has_files(spark, child(staging, "complete")):
-        _finish(spark, staging, path)
-    remove_folder(spark, staging)
-    marked = False
-    try:
-        df.select(*SILVER_COLUMNS).write.parquet(child(staging, "fresh"))
-        fresh = spark.read.schema(SILVER).parquet(child(staging, "fresh"))
-        touched = fresh.select(*PARTITION_COLUMNS).distinct()
-        partitions = touched.count()
-        if not partitions:
-            return 0
+    settle_merge(spark, path)
+    fresh_path = child(_staging(path), "fresh")
+    df.select(*SILVER_COLUMNS).write.mode("overwrite").parquet(fresh_path)
+    fresh = spark.read.schema(SILVER).parquet(fresh_path)
+    touched = fresh.select(*PARTITION_COLUMNS).distinct()
+    partitions = touched.count()
+    rows = 0
+    if partitions:
         union = fresh
-        if has_files(spark, path):
+        if exists(spark, path):
             stale = _touched_only(read_silver(spark, path), touched, partitions)
             union = stale.select(*SILVER_COLUMNS).unionByName(fresh)
         derived = ["observed_date", "year", "month", "day", "health_risk_category"]
         merged = with_risk(with_date_columns(one_per_reading(union.drop(*derived))))
-        merged.select(*SILVER_COLUMNS).write.parquet(child(staging, "merged"))
-        spark.range(1).write.parquet(child(staging, "complete"))
-        marked = True
-        return _finish(spark, staging, path)
-    finally:
-        if not marked:
-            remove_folder(spark, staging)
+        rows = _stage_and_replace(merged.select(*SILVER_COLUMNS), path)
+    clear_folder(spark, fresh_path)
+    return rows
+
+
+def partition_files(spark: SparkSession, path: str) -> DataFrame:
+    """``year, month, day, source, file, length`` of the dataset's files, from their listing alone."""
+    files = file_listing(spark, path)
+    value = {name: F.regexp_extract("path", rf"/{name}=([^/]*)/", 1) for name in PARTITION_COLUMNS}
+    source = F.url_decode(F.replace(value["source"], F.lit("+"), F.lit("%2B")))
+    return files.select(
+        *(value[name].cast("int").alias(name) for name in PARTITION_COLUMNS[:-1]),
+        source.alias("source"),
+        F.substring_index("path", "/", -1).alias("file"),
+        "length",
+    )
+
+
+def compact_silver(spark: SparkSession, path: str, file_bytes: int = COMPACT_FILE_BYTES) -> int:
+    """Pack the files of partitions that hold more of them than their bytes need; returns the rows rewritten.
+
+    Files are put into bins in the order of their names until a bin is full; the rows of a bin become one file. Which
+    partitions, and which bin a file belongs to, follow from the listing alone. Rows are staged and marked like those
+    of a merge, so a failure loses none. Other partitions are not touched.
+    """
+    settle_merge(spark, path)
+    files = partition_files(spark, path)
+    by_name = Window.partitionBy(*PARTITION_COLUMNS).orderBy("file")
+    before = F.sum("length").over(by_name) - F.col("length")
+    bins = files.withColumn("_bin", F.floor(before / F.lit(file_bytes)).cast("int"))
+    sizes = files.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    worn = sizes.where(F.col("files") > F.ceil(F.col("bytes") / F.lit(file_bytes))).select(*PARTITION_COLUMNS)
+    partitions = worn.count()
+    if not partitions:
+        return 0
+    stored = spark.read.schema(SILVER).parquet(str(path)).withColumn("file", F.col("_metadata.file_name"))
+    rows = _touched_only(stored, worn, partitions)
+    packed = rows.join(bins.select(*PARTITION_COLUMNS, "file", "_bin"), [*PARTITION_COLUMNS, "file"])
+    return _stage_and_replace(packed.select(*SILVER_COLUMNS, "_bin"), path)

@@ -152,7 +152,10 @@ def test_no_record_is_lost_unseen(spark, tmp_path):
     def count(path, **layout):
         return read_bronze(spark, path, "opendosm", **layout).filter("date is not null").count()
 
-    assert count(file("truncated_line.json", '{"date": "2026-\n' + "\n".join(TEN))) == 10
+    for begins in ("{\"date\": \"2026-\n" + "\n".join(TEN), "{\"date\": \"2026-01-02\",\n" + TEN[0]):
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            count(file("truncated_line.json", begins))
+    assert count(file("long_object.json", "{\"date\": \"2026-01-02\",\n\"pollutant\": \"co\"}")) == 1
     assert count(file("blank_line.json", "\n  \n" + "\n".join(TEN))) == 10
     indented = json.dumps([json.loads(line) for line in TEN[:3]], indent=2)[:-2]
     mixed = file("mixed.json", indented + "".join(f",\n  {line}" for line in TEN[3:]) + "\n]")

@@ -9,7 +9,7 @@ from hazelake.plans.silver import clean_daily, clean_stations
 from hazelake.schemas import PARTITION_COLUMNS, SILVER
 from hazelake.sources import silver as silver_sink
 from hazelake.sources.paths import child, shared_folder
-from hazelake.sources.silver import merge_silver, read_silver, write_partitioned, write_silver
+from hazelake.sources.silver import compact_silver, merge_silver, read_silver, write_partitioned, write_silver
 from samples import daily, documents, random_daily, rows_of, sensor, station
 
 
@@ -132,24 +132,121 @@ def test_merge_leaves_other_partitions_and_the_shared_folder_alone(spark, tmp_pa
     assert merge_silver(clean_daily(daily(spark, [("2025-11-03", "co", 9.0)])), path) == 2
     assert before <= set(files_below(path))
     assert merge_silver(clean_daily(daily(spark, [])), path) == 0
-    assert os.listdir(tmp_path) == ["s"]
+    assert staged_rows(spark, tmp_path) == 0
 
 
-def test_merge_that_fails_midway_is_mended_by_the_next(spark, tmp_path, monkeypatch):
-    rows, path = random_daily(300), str(tmp_path / "s")
-    merge_silver(clean_daily(daily(spark, rows[:150])), path)
+def staged_rows(spark, tmp_path):
+    """Rows that lie in the folder beside the dataset."""
+    folders = [str(tmp_path / "s__merge" / name) for name in ("fresh", "merged", "mark")]
+    return sum(spark.read.text(folder).count() for folder in folders if os.path.exists(folder))
+
+
+def fail_once(monkeypatch, name, at=0, before=lambda: None):
+    """The call number ``at`` of a function of the sink fails, after ``before`` did some damage."""
+    real, calls = getattr(silver_sink, name), []
 
     def fail(*args):
-        shutil.rmtree(next((tmp_path / "s").glob("year=*")))  # as if a folder was gone and its new one not yet there
-        raise OSError("lost")
+        calls.append(args)
+        if len(calls) - 1 == at:
+            before()
+            raise OSError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(silver_sink, name, fail)
+
 
+def test_merge_that_fails_midway_is_mended_by_the_next(spark, tmp_path, monkeypatch):
+    rows, path = random_daily(300), str(tmp_path / "s")
+    merge_silver(clean_daily(daily(spark, rows[:150])), path)
     with monkeypatch.context() as patched:
-        patched.setattr(silver_sink, "write_silver", fail)
+        # as if a folder was gone and its new one not yet there
+        fail_once(patched, "_replace", before=lambda: shutil.rmtree(next((tmp_path / "s").glob("year=*"))))
         with pytest.raises(OSError, match="lost"):
             merge_silver(clean_daily(daily(spark, rows[100:])), path)
     merge_silver(clean_daily(daily(spark, rows[100:])), path)
     assert rows_of(read_silver(spark, path)) == rows_of(clean_daily(daily(spark, rows)))
-    assert os.listdir(tmp_path) == ["s"]
+    assert staged_rows(spark, tmp_path) == 0
+
+
+@pytest.mark.parametrize("at", [0, 1, 2])
+@pytest.mark.parametrize("cleared", ["nothing", "everything"])
+def test_no_row_is_lost_wherever_clearing_stops(spark, tmp_path, monkeypatch, at, cleared):
+    """The mark, the merged and the fresh rows are cleared in turn; the next merge of another day finds whole rows."""
+    rows, path = random_daily(200), str(tmp_path / "s")
+    folder = tmp_path / "s__merge" / ("mark", "merged", "fresh")[at]
+    merge_silver(clean_daily(daily(spark, rows[:120])), path)
+
+    def damage():
+        for file in sorted(folder.glob("part-*"))[: None if cleared == "everything" else 0]:
+            file.unlink()
+
+    with monkeypatch.context() as patched:
+        fail_once(patched, "clear_folder", at, damage)
+        with pytest.raises(OSError, match="lost"):
+            merge_silver(clean_daily(daily(spark, rows[80:])), path)
+    other = [("2031-01-01", "co", 1.0)]
+    merge_silver(clean_daily(daily(spark, other)), path)
+    assert rows_of(read_silver(spark, path)) == rows_of(clean_daily(daily(spark, rows + other)))
+
+
+def test_a_write_after_a_failed_merge_is_not_undone(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "s")
+    write_silver(clean_daily(daily(spark, [("2026-05-01", "co", 1.0)])), path)
+    with monkeypatch.context() as patched:
+        fail_once(patched, "_replace")
+        with pytest.raises(OSError, match="lost"):
+            merge_silver(clean_daily(daily(spark, [("2026-05-01", "co", 2.0), ("2026-05-03", "co", 3.0)])), path)
+    write_silver(clean_daily(daily(spark, [("2026-05-01", "co", 9.0), ("2026-05-01", "o3", 8.0)])), path)
+    merge_silver(clean_daily(daily(spark, [("2026-05-02", "co", 5.0)])), path)
+    found = sorted((r.day, r.pollutant, r.reading_value) for r in read_silver(spark, path).collect())
+    assert found == [(1, "CO", 9.0), (1, "O3", 8.0), (2, "CO", 5.0), (3, "CO", 3.0)]
+
+
+def test_a_merge_whose_staged_rows_are_gone_replaces_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "s")
+    write_silver(clean_daily(daily(spark, [("2026-05-01", "co", 1.0)])), path)
+    with monkeypatch.context() as patched:
+        fail_once(patched, "_replace")
+        with pytest.raises(OSError, match="lost"):
+            merge_silver(clean_daily(daily(spark, [("2026-05-01", "no", 2.0)])), path)
+    for file in (tmp_path / "s__merge" / "merged").glob("part-*"):
+        file.unlink()
+    for write in (merge_silver, write_silver, lambda df, path: compact_silver(spark, path)):
+        with pytest.raises(RuntimeError, match="should hold 2 rows but holds 0"):
+            write(clean_daily(daily(spark)), path)
+    assert read_silver(spark, path).count() == 1
+
+
+def test_many_merges_and_appends_are_packed_into_few_files(spark, tmp_path):
+    path, rows = str(tmp_path / "s"), random_daily(400)
+    for i in range(0, 400, 50):
+        merge_silver(clean_daily(daily(spark, rows[i : i + 50])), path)
+    names = [f"extra {i}" for i in range(42)]
+    for name in names:
+        write_silver(clean_daily(daily(spark, [("2026-05-27", name, 1.0), ("2026-05-28", name, 2.0)])), path, mode="append")
+    whole, files = rows_of(read_silver(spark, path)), files_below(tmp_path / "s")
+    assert len(files) > 80
+    assert compact_silver(spark, path) > 80
+    assert rows_of(read_silver(spark, path)) == whole
+    packed = files_below(tmp_path / "s")
+    assert len(packed) == 2 and staged_rows(spark, tmp_path) == 0
+    assert compact_silver(spark, path) == 0
+    assert files_below(tmp_path / "s") == packed
+
+
+def test_a_compaction_fills_bins_and_leaves_good_partitions_alone(spark, tmp_path):
+    path = str(tmp_path / "s")
+    write_silver(clean_daily(daily(spark, [("2026-06-01", "co", 1.0)])), path)
+    for i in range(6):
+        rows = [("2026-05-27", f"gas {i} {j}", float(j)) for j in range(30)]
+        write_silver(clean_daily(daily(spark, rows)), path, mode="append")
+    whole, good = rows_of(read_silver(spark, path)), [f for f in files_below(tmp_path / "s") if "month=6" in f]
+    size = max(os.path.getsize(tmp_path / "s" / f) for f in files_below(tmp_path / "s") if "month=5" in f)
+    assert compact_silver(spark, path, file_bytes=2 * size) == 180
+    found = files_below(tmp_path / "s")
+    assert [f for f in found if "month=6" in f] == good
+    assert 1 <= len([f for f in found if "month=5" in f]) <= 3
+    assert rows_of(read_silver(spark, path)) == whole
 
 
 def test_merge_lists_only_the_days_it_touches(spark, tmp_path, plan_of):
