@@ -10,13 +10,14 @@ def _pick(values: list, position: Column) -> Column:
     return F.array(*map(F.lit, values))[F.pmod(position, F.lit(len(values))).cast("int")]
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table, with the number inside ``props`` as ``k``."""
+def events(spark: SparkSession, sf_dir: str, days: int = 0) -> DataFrame:
+    """The table, with the number inside ``props`` as ``k``; times are moved on by so many days."""
     k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", k)
+    later = F.col("ts") + F.make_dt_interval(F.lit(days))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumns({"k": k, "ts": later})
 
 
-def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def texts(spark: SparkSession, sf_dir: str, days: int = 0) -> DataFrame:
     """One raw text of every kind per event, and the value brought into the pollutant's range."""
     names = [name for name, _ in POLLUTANTS]
     divisors = [float(divisor) for _, divisor in POLLUTANTS]
@@ -36,7 +37,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(day)
     )
     value = F.col("value") / _pick(divisors, event)
-    return events(spark, sf_dir).select(
+    return events(spark, sf_dir, days).select(
         "event_id",
         "user_id",
         "event_type",
@@ -77,8 +78,8 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested station document per event, some without results, sensors or times."""
+def stations(spark: SparkSession, sf_dir: str, *further: str) -> DataFrame:
+    """One nested station document per event, some without results, sensors or times, and further columns."""
     k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
     last = (
         F.when((kind == "error") & (k < 20), F.lit(None))
@@ -112,7 +113,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = F.array(result)
     results = F.when(k == 50, F.slice(one, 1, 0)).when(k != 51, one)
     location = F.when(k % 10 != 0, (user % 5).cast("string"))
-    return texts(spark, sf_dir).select(location.alias("location_id"), results.alias("results"))
+    return texts(spark, sf_dir).select(location.alias("location_id"), results.alias("results"), *further)
 
 
 def dump_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,6 +140,65 @@ def page_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Events of a landed page, and pages of a run.
+PAGE_EVENTS, RUN_PAGES = 100, 20
+
+
+def _page_number() -> Column:
+    return F.floor(F.col("event_id") / PAGE_EVENTS)
+
+
+def landed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """All events as responses in ``run=…/offset=…/<file>``, a page of records each, in the shapes a response has.
+
+    Of eleven pages one was cut off, and the last of each run but the longest is one record short.
+    """
+    page, record = _page_number(), F.struct("date", "pollutant", "concentration")
+    last = F.col("event_id") % (PAGE_EVENTS * RUN_PAGES) == PAGE_EVENTS * (RUN_PAGES // 2) + 1
+    rows = dump_rows(spark, sf_dir).where(~last).withColumn("page", page)
+    pages = rows.groupBy("page").agg(F.collect_list(record).alias("data"))
+    body = (
+        F.when(F.col("page") % 11 == 3, F.lit('{"data": [{"date": "2024-'))
+        .when(F.col("page") % 2 == 0, F.to_json(F.struct("data")))
+        .otherwise(F.to_json("data"))
+    )
+    run = F.floor(F.col("page") / RUN_PAGES).cast("string")
+    offset = F.col("page") % RUN_PAGES * PAGE_EVENTS
+    placed = pages.select(run.alias("run"), offset.alias("offset"), body.alias("value"))
+    placed.repartition("run").write.partitionBy("run", "offset").text(path)
+
+
+def landed_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """All events as station documents, an array of them in each response; of thirteen responses one was cut off."""
+    rows = stations(spark, sf_dir, "event_id").withColumn("page", _page_number())
+    pages = rows.groupBy("page").agg(F.collect_list(F.struct("location_id", "results")).alias("docs"))
+    body = F.when(F.col("page") % 13 == 5, F.lit('[{"location_id": "1", "results": [')).otherwise(F.to_json("docs"))
+    pages.select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
+def further_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily records as JSON lines that hold fields beyond the contract."""
+    kind = F.col("event_type")
+    # In a struct that is written as JSON, null fields are left out.
+    record = F.struct(
+        "date", "pollutant", "concentration", F.col("k").alias("batch"),
+        F.when(kind == "click", F.struct(F.col("user_id").alias("id"))).alias("user"),
+        F.when(kind == "view", F.lit("x")).alias("note"),
+    )
+    return dump_rows(spark, sf_dir).select("event_id", F.to_json(record).alias("value"))
+
+
+def timed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per line item: a run per order, of which pages come for months."""
+    at = F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"))
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_orderkey").cast("string").alias("run"),
+        (F.col("l_linenumber") * 20).cast("long").alias("offset"),
+        F.col("l_quantity").cast("int").alias("size"),
+        at.alias("at"),
+    )
+
+
 def sized_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per line item with as many records as its quantity (fifty at most); a run per order."""
     record = F.struct(

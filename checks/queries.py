@@ -4,9 +4,10 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from checks import bridge
-from hazelake.dictionaries import DAILY_SOURCE, DEFAULT_UNITS, SOURCES, STATION_SOURCE
+from hazelake.dictionaries import DAILY_SOURCE, DEFAULT_UNITS, PLACE_STATES, POLLUTANT_ALIASES, SOURCES, STATION_SOURCE
 from hazelake.functions.naming import (
     canonical_pollutant,
     canonical_state,
@@ -28,7 +29,16 @@ from hazelake.operators.standardize import (
     with_state,
     with_time_columns,
 )
+from hazelake.operators.tables import with_names, with_place_state
 from hazelake.plans import jobs, summaries
+from hazelake.plans.refresh import (
+    RANK_ERROR,
+    partial_sums,
+    quantiles_of,
+    read_summaries,
+    refresh_summaries,
+    state_monthly_of,
+)
 from hazelake.plans.silver import clean, clean_all, clean_daily, clean_rows, clean_stations
 from hazelake.schemas import DAILY_BRONZE
 from hazelake.sources.bronze import (
@@ -39,6 +49,7 @@ from hazelake.sources.bronze import (
     read_bronze,
     read_json,
 )
+from hazelake.sources.history import as_json, further_fields, newest_of_many, read_dumps, read_open
 from hazelake.sources.landing import (
     complete_pages,
     flatten_pages,
@@ -49,7 +60,10 @@ from hazelake.sources.landing import (
 )
 from hazelake.sources.paths import child, shared_folder
 from hazelake.sources.silver import merge_silver, read_silver, write_partitioned, write_silver
-from hazelake.streaming.snapshots import ingest_stream
+from hazelake.streaming.dedupe import append_stream, appended_readings, open_readings
+from hazelake.streaming.landing import land, rejected_responses
+from hazelake.streaming.runs import follow_runs, followed_pages
+from hazelake.streaming.snapshots import ingest_stream, stream_dumps
 
 #: Ids of events in a row that make one array of ``indented_roundtrip``, so that files grow in number, not in size.
 EVENTS_PER_FILE = 10_000
@@ -362,7 +376,161 @@ def state_mean_pm25(spark, sf_dir):
     return _rounded(summaries.state_mean_pm25(shared_clean(spark, sf_dir)), "mean_pm25")
 
 
+def document_roundtrip(spark, sf_dir):
+    """All events as documents of many records on a single line each, found to be documents file by file."""
+    rows = bridge.dump_rows(spark, sf_dir)
+    part = F.floor(F.col("event_id") / EVENTS_PER_FILE)
+    record = F.struct("date", "pollutant", "concentration")
+    arrays = rows.groupBy(part.alias("part")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    path = shared_folder(spark, "documents")
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return read_json(spark, path, DAILY_BRONZE)
+
+
+def land_daily(spark, sf_dir):
+    landing, base = shared_folder(spark, "landing"), shared_folder(spark, "bronze")
+    bridge.landed_pages(spark, sf_dir, landing)
+    land(spark, landing, base, DAILY_SOURCE, shared_folder(spark, "progress"), bridge.PAGE_EVENTS).awaitTermination()
+    return read_bronze(spark, latest_snapshot(spark, base, DAILY_SOURCE).path, DAILY_SOURCE)
+
+
+def rejected_pages_text(spark, sf_dir):
+    landing, base = shared_folder(spark, "landing"), shared_folder(spark, "bronze")
+    bridge.landed_pages(spark, sf_dir, landing)
+    land(spark, landing, base, DAILY_SOURCE, shared_folder(spark, "progress"), bridge.PAGE_EVENTS).awaitTermination()
+    rejects = rejected_responses(spark, base, DAILY_SOURCE)
+    return rejects.withColumn("raw", F.rtrim("raw", F.lit("\n")))
+
+
+def land_stations(spark, sf_dir):
+    landing, base = shared_folder(spark, "landing"), shared_folder(spark, "bronze")
+    bridge.landed_documents(spark, sf_dir, landing)
+    land(spark, landing, base, STATION_SOURCE, shared_folder(spark, "progress")).awaitTermination()
+    dump = latest_snapshot(spark, base, STATION_SOURCE)
+    return station_rows_outer(read_bronze(spark, dump.path, STATION_SOURCE, dump.layout))
+
+
+def rejected_stations(spark, sf_dir):
+    base, rejects = shared_folder(spark, "bronze"), shared_folder(spark, "rejects")
+    dump = land_snapshot(bridge.stations(spark, sf_dir), base, STATION_SOURCE, _FIRST)
+    jobs.ingest(spark, dump, shared_folder(spark, "silver"), STATION_SOURCE, rejects=rejects)
+    kept = station_rows_outer(bridge.stations(spark, sf_dir).limit(0)).schema
+    layout = StructType([*kept.fields, StructField("reason", StringType())])
+    return spark.read.schema(layout).parquet(child(rejects, STATION_SOURCE, "*", "taken=false"))
+
+
+def accepted_stations(spark, sf_dir):
+    """Silver rows of a dump that was parted from its rejects first."""
+    base, rejects = shared_folder(spark, "bronze"), shared_folder(spark, "rejects")
+    dump = land_snapshot(bridge.stations(spark, sf_dir), base, STATION_SOURCE, _FIRST)
+    report = jobs.ingest(spark, dump, shared_folder(spark, "silver"), STATION_SOURCE, rejects=rejects)
+    return report.readings(spark)
+
+
+def stream_page_runs(spark, sf_dir):
+    landed, base = shared_folder(spark, "pages"), shared_folder(spark, "runs")
+    bridge.timed_pages(spark, sf_dir).write.parquet(landed)
+    layout = "run string, offset long, size int, at timestamp"
+    stored = spark.read.schema(layout).parquet(landed)
+    stream = spark.readStream.schema(layout).parquet(landed)
+    follow_runs(stream, stored, base, shared_folder(spark, "progress"), "20 days 12 hours 30 minutes", "5 days", 20).awaitTermination()
+    return followed_pages(spark, base, layout).drop("at")
+
+
+def stream_dedupe(spark, sf_dir):
+    """All events three times: as they are, every other one again, and all of them two months later."""
+    base, path, progress = shared_folder(spark, "bronze"), shared_folder(spark, "silver"), shared_folder(spark, "progress")
+    early, late = bridge.texts(spark, sf_dir), bridge.texts(spark, sf_dir, days=60)
+    for day, rows in enumerate((early, early.where("event_id % 2 = 0"), late), 1):
+        land_snapshot(rows.select("date", "pollutant", "concentration"), base, DAILY_SOURCE, datetime(2024, 2, day))
+    dumps = stream_dumps(spark, child(base, DAILY_SOURCE, "*.json"), DAILY_SOURCE, max_files=1)
+    append_stream(dumps, path, DAILY_SOURCE, progress, "40 days").awaitTermination()
+    return appended_readings(spark, path).unionByName(open_readings(spark, progress))
+
+
+def newest_rows(spark, sf_dir):
+    base, rows = shared_folder(spark, "bronze"), bridge.texts(spark, sf_dir)
+    older = rows.select("date", "pollutant", (number(F.col("concentration")) + 1000).alias("concentration"))
+    land_snapshot(older, base, DAILY_SOURCE, _FIRST)
+    newer = rows.where("k % 2 = 0").select("date", "pollutant", "concentration")
+    land_snapshot(newer, base, DAILY_SOURCE, _SECOND)
+    return newest_of_many(read_dumps(spark, base, DAILY_SOURCE), DAILY_SOURCE)
+
+
+def _open_dump(spark, sf_dir) -> DataFrame:
+    path = shared_folder(spark, "open")
+    bridge.further_lines(spark, sf_dir).select("value").write.text(path)
+    return read_open(spark, path, DAILY_BRONZE)
+
+
+def schema_drift(spark, sf_dir):
+    return further_fields(_open_dump(spark, sf_dir))
+
+
+def variant_fields(spark, sf_dir):
+    rows = _open_dump(spark, sf_dir)
+    return rows.select("date", "pollutant", "concentration", as_json(F.col("further")).alias("further"))
+
+
+def alias_table(spark, sf_dir):
+    aliases = spark.createDataFrame(list(POLLUTANT_ALIASES.items()), "alias string, name string")
+    named = with_names(_event(spark, sf_dir, "pollutant"), "pollutant", aliases, "known")
+    name = F.coalesce("known", F.upper(F.trim("pollutant")))
+    return named.select("event_id", name.alias("pollutant"))
+
+
+def place_hints_table(spark, sf_dir):
+    hints = [(hint, state, rank) for rank, (hint, state) in enumerate(PLACE_STATES.items())]
+    table = spark.createDataFrame(hints, "hint string, state string, rank int")
+    return with_place_state(_event(spark, sf_dir, "location_name"), "location_name", table).select("event_id", "state")
+
+
+def _refreshed(spark, sf_dir) -> str:
+    """Partial sums of a dataset that was summed up, merged into, and brought in line."""
+    silver, sums = shared_folder(spark, "silver"), shared_folder(spark, "sums")
+    rows = _raw_table(spark, sf_dir)
+    early = F.col("longitude") < 4
+    write_silver(clean_rows(rows.filter(early), "timestamp"), silver)
+    refresh_summaries(spark, silver, sums)
+    merge_silver(clean_rows(rows.filter(~early), "timestamp"), silver)
+    refresh_summaries(spark, silver, sums)
+    return sums
+
+
+def summary_refresh(spark, sf_dir):
+    return _rounded(state_monthly_of(read_summaries(spark, _refreshed(spark, sf_dir))), "mean_value")
+
+
+def pollutant_quantiles(spark, sf_dir):
+    """Quantiles from the sketches of all days, and whether the values' exact ranks are within the stated error."""
+    silver = shared_clean(spark, sf_dir)
+    found = quantiles_of(partial_sums(silver), [0.1, 0.5, 0.9], "pollutant")
+    known = silver.where("reading_value is not null").select(F.col("pollutant").alias("of"), "reading_value")
+    ranked = found.join(known, F.col("pollutant") == F.col("of")).groupBy("pollutant", "rank", "readings").agg(
+        (F.count_if(F.col("reading_value") < F.col("value")) / F.count(F.lit(1))).alias("below"),
+        (F.count_if(F.col("reading_value") <= F.col("value")) / F.count(F.lit(1))).alias("through"),
+    )
+    error = 2 * RANK_ERROR
+    near = (F.col("below") - error <= F.col("rank")) & (F.col("through") + error >= F.col("rank"))
+    return ranked.select("pollutant", "rank", "readings", near.alias("within"))
+
+
 QUERIES = {
+    "document_roundtrip": document_roundtrip,
+    "land_daily": land_daily,
+    "land_stations": land_stations,
+    "rejected_pages_text": rejected_pages_text,
+    "rejected_stations": rejected_stations,
+    "accepted_stations": accepted_stations,
+    "stream_page_runs": stream_page_runs,
+    "stream_dedupe": stream_dedupe,
+    "newest_of_many": newest_rows,
+    "schema_drift": schema_drift,
+    "variant_fields": variant_fields,
+    "alias_table": alias_table,
+    "place_hints_table": place_hints_table,
+    "summary_refresh": summary_refresh,
+    "pollutant_quantiles": pollutant_quantiles,
     "pollutant_canonical": pollutant_canonical,
     "unit_canonical": unit_canonical,
     "pollutant_and_unit": pollutant_and_unit,

@@ -219,20 +219,23 @@ _STATION_CANONICAL = f"""(
     FROM (SELECT * REPLACE ({_pollutant("pollutant")} AS pollutant) FROM sensors)
 )"""
 
+_STATION_REST = f"""
+    SELECT 'openaq' AS source, CASE WHEN k % 10 <> 0 THEN CAST(user_id % 5 AS VARCHAR)
+            WHEN k <> 50 THEN CAST(user_id + 1000 AS VARCHAR) END AS source_location_id,
+        CASE WHEN k NOT IN (50, 51) THEN location_name END AS location_name,
+        CASE WHEN k NOT IN (50, 51) THEN state END AS state,
+        CASE WHEN k NOT IN (50, 51) AND k % 5 <> 0 THEN 'Malaysia' END AS country,
+        CASE WHEN k NOT IN (50, 51) THEN 1 + user_id / 100.0::DOUBLE END AS latitude,
+        CASE WHEN k NOT IN (3, 50, 51) THEN k / 10.0::DOUBLE END AS longitude,
+        CAST(NULL AS VARCHAR) AS pollutant, CAST(NULL AS VARCHAR) AS unit, CAST(NULL AS DOUBLE) AS reading_value,
+        CASE WHEN k NOT IN (50, 51) THEN {_STATION_TEXT} END AS timestamp
+    FROM texts WHERE k IN (50, 51) OR (event_type = 'signup' AND k < 15)"""
+
 _STATION_EXPLODED = f"""
     SELECT 'openaq' AS source, source_location_id, location_name, state, country, latitude, longitude,
         pollutant, unit, CAST(NULL AS DOUBLE) AS reading_value, timestamp
     FROM sensors
-    UNION ALL
-    SELECT 'openaq', CASE WHEN k % 10 <> 0 THEN CAST(user_id % 5 AS VARCHAR)
-            WHEN k <> 50 THEN CAST(user_id + 1000 AS VARCHAR) END,
-        CASE WHEN k NOT IN (50, 51) THEN location_name END,
-        CASE WHEN k NOT IN (50, 51) THEN state END,
-        CASE WHEN k NOT IN (50, 51) AND k % 5 <> 0 THEN 'Malaysia' END,
-        CASE WHEN k NOT IN (50, 51) THEN 1 + user_id / 100.0::DOUBLE END,
-        CASE WHEN k NOT IN (3, 50, 51) THEN k / 10.0::DOUBLE END,
-        NULL, NULL, NULL, CASE WHEN k NOT IN (50, 51) THEN {_STATION_TEXT} END
-    FROM texts WHERE k IN (50, 51) OR (event_type = 'signup' AND k < 15)"""
+    UNION ALL {_STATION_REST}"""
 
 # A reading with the value one higher, as a later dump of the same records would hold it.
 _LATER = "amount + 1"
@@ -258,7 +261,113 @@ _STATION = _with(_silver(_STATION_CANONICAL), _SENSORS)
 _BOTH = _with(f"{_daily()} UNION ALL {_silver(_STATION_CANONICAL)}", _SENSORS)
 _SHARED = _with(_silver("raw"), _RAW)
 
+_CONCENTRATION = "CASE WHEN k = 7 THEN 'n/a' WHEN k <> 13 THEN CAST(k AS VARCHAR) END"
+
+# Landed pages: a hundred events each, twenty pages a run, one event missing in the page that ends a run.
+_PAGES = """pages AS (
+    SELECT *, event_id // 100 AS page, event_id // 2000 AS run FROM texts WHERE event_id % 2000 <> 1001
+), sizes AS (
+    SELECT run, page, count(*) AS size, page % 20 * 100 AS "offset" FROM pages GROUP BY run, page
+), ends AS (
+    SELECT run, min("offset") AS last FROM sizes WHERE page % 11 <> 3 AND size < 100 GROUP BY run
+), judged AS (
+    SELECT sizes.*, page % 11 = 3 AS cut, page % 11 <> 3 AND coalesce("offset" > last, false) AS behind
+    FROM sizes LEFT JOIN ends USING (run)
+)"""
+
+_SENSOR_REASON = """CASE WHEN timestamp IS NULL THEN 'missing date'
+    WHEN pollutant IS NULL THEN 'missing pollutant' END"""
+
+# The same events two months later.
+_LATER_TEXTS = """later AS (
+    SELECT * REPLACE (seen + INTERVAL 60 DAY AS seen) FROM texts
+    UNION ALL SELECT * FROM texts
+)"""
+
+_NEWEST = f"""(
+    SELECT 'opendosm' AS source, CAST(NULL AS VARCHAR) AS source_location_id,
+        CAST(NULL AS VARCHAR) AS location_name, CAST(NULL AS VARCHAR) AS state,
+        'Malaysia' AS country, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
+        pollutant, {_default_unit("pollutant")} AS unit, reading_value, observed_at
+    FROM (
+        SELECT *, dump = max(dump) OVER (PARTITION BY pollutant, observed_at) AS newest FROM (
+            SELECT {_pollutant("pollutant")} AS pollutant, amount + 1000 AS reading_value, seen AS observed_at, 1 AS dump
+            FROM texts
+            UNION ALL
+            SELECT {_pollutant("pollutant")}, amount, seen, 2 FROM texts WHERE k % 2 = 0
+        )
+    ) WHERE newest
+)"""
+
+# Pages by month: a run's visits are parted by more than 20 days, 12 hours and 30 minutes without a page.
+_RUNS = """
+WITH pages AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS run, l_linenumber * 20 AS "offset", CAST(l_quantity AS INTEGER) AS size,
+        l_shipdate + to_hours(l_linenumber) AS landed FROM lineitem
+), steps AS (
+    SELECT *, landed - lag(landed) OVER (PARTITION BY run ORDER BY landed) > INTERVAL '20 days 12 hours 30 minutes' AS apart FROM pages
+), numbered AS (
+    SELECT *, sum(CASE WHEN apart THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY landed) AS visit FROM steps
+), visits AS (
+    SELECT run, visit, max(landed) AS last_at, min("offset") FILTER (WHERE size < 20) AS last FROM numbered GROUP BY run, visit
+)
+SELECT run, "offset", size, CASE WHEN visit > 0 OR "offset" > last THEN 'after the end of the run' END AS reason
+FROM numbered JOIN visits USING (run, visit)
+WHERE last_at + INTERVAL '20 days 12 hours 30 minutes' <= (SELECT max(landed) FROM pages) - INTERVAL 5 DAY"""
+
 ORACLE = {
+    "document_roundtrip": _with(
+        f"SELECT date_text AS date, pollutant, {_CONCENTRATION} AS concentration FROM texts"
+    ),
+    "land_daily": _with(
+        f"""SELECT date_text AS date, pollutant, {_CONCENTRATION} AS concentration
+        FROM pages JOIN judged USING (run, page) WHERE NOT cut AND NOT behind""",
+        _PAGES,
+    ),
+    "rejected_pages_text": _with(
+        """SELECT CAST(run AS VARCHAR) AS run, "offset",
+            CASE WHEN cut THEN 'unreadable response' ELSE 'after the end of the run' END AS reason,
+            CASE WHEN cut THEN '{"data": [{"date": "2024-' END AS raw
+        FROM judged WHERE cut OR behind""",
+        _PAGES,
+    ),
+    "land_stations": _with(_STATION_EXPLODED, _SENSORS).replace(
+        "FROM numbered\n", "FROM numbered WHERE event_id // 100 % 13 <> 5\n"
+    ),
+    "rejected_stations": _with(
+        f"""SELECT 'openaq' AS source, source_location_id, location_name, state, country, latitude, longitude,
+            pollutant, unit, CAST(NULL AS DOUBLE) AS reading_value, timestamp, {_SENSOR_REASON} AS reason
+        FROM sensors WHERE {_SENSOR_REASON} IS NOT NULL
+        UNION ALL
+        SELECT *, CASE WHEN latitude IS NULL THEN 'no results' ELSE 'no sensors' END FROM ({_STATION_REST})""",
+        _SENSORS,
+    ),
+    "accepted_stations": _STATION,
+    "stream_page_runs": _RUNS,
+    "stream_dedupe": _with(_daily().replace("FROM texts)", "FROM later)"), _LATER_TEXTS),
+    "newest_of_many": _with(_silver(_NEWEST)),
+    "schema_drift": """
+        SELECT 'batch' AS field, 'BIGINT' AS type, count(*) AS records FROM events
+        UNION ALL SELECT 'note', 'STRING', count(*) FROM events WHERE event_type = 'view'
+        UNION ALL SELECT 'user', 'OBJECT<id: BIGINT>', count(*) FROM events WHERE event_type = 'click'""",
+    "variant_fields": _with(
+        f"""SELECT date_text AS date, pollutant, {_CONCENTRATION} AS concentration,
+            'batch=' || k || CASE WHEN event_type = 'click' THEN ',user={{"id":' || user_id || '}}'
+                WHEN event_type = 'view' THEN ',note="x"' ELSE '' END AS further FROM texts"""
+    ),
+    "alias_table": _with(f"SELECT event_id, {_pollutant('pollutant')} AS pollutant FROM texts"),
+    "place_hints_table": _with(f"SELECT event_id, {_place('location_name')} AS state FROM texts"),
+    "summary_refresh": _gold(
+        """SELECT state, year, month, pollutant, unit, round(avg(reading_value), 9) AS mean_value,
+            min(reading_value) AS min_value, max(reading_value) AS max_value,
+            count(reading_value) AS readings
+        FROM silver GROUP BY state, year, month, pollutant, unit"""
+    ),
+    "pollutant_quantiles": _gold(
+        """SELECT pollutant, rank, count(reading_value) AS readings, true AS within
+        FROM silver, (VALUES (0.1::DOUBLE), (0.5::DOUBLE), (0.9::DOUBLE)) AS ranks(rank)
+        WHERE reading_value IS NOT NULL GROUP BY pollutant, rank"""
+    ),
     "pollutant_canonical": _with(
         f"SELECT event_id, {_pollutant('pollutant')} AS pollutant FROM texts"
     ),

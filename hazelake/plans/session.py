@@ -1,8 +1,5 @@
 """Session settings of the jobs; every other function runs on whatever session the caller owns."""
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import SparkSession
 
 _SETTINGS = {
@@ -32,21 +29,17 @@ def create_session(app_name: str = "hazelake", **settings: str) -> SparkSession:
     return spark
 
 
-@contextmanager
-def shuffle_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
-    """Start shuffles with about one partition per 256 MB of input while the block runs.
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Let shuffles of this session start with about one partition per 256 MB of input; returns that number.
 
     Adaptive execution joins small shuffle partitions but never cuts those of an aggregate, so the
-    default of two hundred would be too coarse for a large dump. A value the caller has set stays.
+    default of two hundred would be too coarse for a large dump. A value that is set already stays. For whoever owns
+    the session, as the command line does; no other function of the library changes a session's settings.
     """
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(least, -(-input_bytes // _BYTES_PER_PARTITION))
     given = spark.conf.get(_INITIAL_PARTITIONS, None)
     if given:
-        yield int(given)
-        return
+        return int(given)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(least, -(-input_bytes // _BYTES_PER_PARTITION))
     spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
-    try:
-        yield wanted
-    finally:
-        spark.conf.unset(_INITIAL_PARTITIONS)
+    return wanted

@@ -20,9 +20,13 @@ from hazelake.schemas import IDENTITY_COLUMNS, SILVER, SILVER_COLUMNS
 _PAYLOAD = ["state", "country", "latitude", "longitude", "unit", "reading_value"]
 
 
-def _finish(df: DataFrame) -> DataFrame:
-    """De-duplicate canonical rows, then add what depends only on the surviving row."""
-    kept = one_per_reading(df.select(*IDENTITY_COLUMNS, *_PAYLOAD))
+def _finish(df: DataFrame, lateness: str | None = None) -> DataFrame:
+    """De-duplicate canonical rows, then add what depends only on the surviving row.
+
+    On a stream ``lateness`` bounds how long readings of a time are held for copies.
+    """
+    rows = df.select(*IDENTITY_COLUMNS, *_PAYLOAD)
+    kept = one_per_reading(rows.withWatermark("observed_at", lateness) if lateness else rows)
     return with_risk(with_date_columns(kept)).select(*SILVER_COLUMNS)
 
 
@@ -38,7 +42,7 @@ def clean_rows(df: DataFrame, raw_time_col: str) -> DataFrame:
     return _finish(timed.filter(F.col("observed_at").isNotNull()))
 
 
-def clean_daily(df: DataFrame) -> DataFrame:
+def clean_daily(df: DataFrame, lateness: str | None = None) -> DataFrame:
     """Silver rows of flat daily records.
 
     Daily records name no place, so a reading is known by pollutant and time alone and the preferred
@@ -51,6 +55,8 @@ def clean_daily(df: DataFrame) -> DataFrame:
         reading_time(F.col("date")).alias("observed_at"),
         number(F.col("concentration")).alias("reading_value"),
     )
+    if lateness:
+        readings = readings.withWatermark("observed_at", lateness)
     # A filter on the parsed time would be pushed below the projection and parse every text a second
     # time. The count drops the one group per pollutant that unreadable times fall into instead.
     kept = (
@@ -58,6 +64,11 @@ def clean_daily(df: DataFrame) -> DataFrame:
         .agg(F.max("reading_value").alias("reading_value"), F.count("observed_at").alias("timed"))
         .filter(F.col("timed") > 0)
     )
+    return daily_silver(kept)
+
+
+def daily_silver(kept: DataFrame) -> DataFrame:
+    """Distinct ``pollutant, observed_at, reading_value`` of the daily source in the silver layout."""
     known = {
         "source": F.lit(DAILY_SOURCE),
         "country": F.lit(DAILY_COUNTRY),
@@ -75,7 +86,7 @@ def clean_daily(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_stations(df: DataFrame) -> DataFrame:
+def clean_stations(df: DataFrame, lateness: str | None = None) -> DataFrame:
     """Silver rows of nested station documents.
 
     Names, times and states are worked out once per station, before its sensors are laid out as rows,
@@ -84,7 +95,7 @@ def clean_stations(df: DataFrame) -> DataFrame:
     at_station = stations(df).withColumn("observed_at", reading_time(F.col("timestamp")))
     timed = at_station.filter(F.col("observed_at").isNotNull())
     rows = sensor_rows(with_state(timed)).filter(F.col("pollutant").isNotNull())
-    return _finish(with_pollutant_and_unit(rows))
+    return _finish(with_pollutant_and_unit(rows), lateness)
 
 
 _CLEANERS = {DAILY_SOURCE: clean_daily, STATION_SOURCE: clean_stations}
@@ -97,9 +108,18 @@ def require_source(source: str) -> str:
     return source
 
 
-def clean(df: DataFrame, source: str) -> DataFrame:
-    """Silver rows of a bronze frame of the named source."""
-    return _CLEANERS[require_source(source)](df)
+def clean(df: DataFrame, source: str, lateness: str | None = None) -> DataFrame:
+    """Silver rows of a bronze frame of the named source.
+
+    For a stream to append its rows, ``lateness`` (like ``"2 days"``) says how far behind the newest reading copies and
+    other rows may come; what comes later is left out.
+    """
+    return _CLEANERS[require_source(source)](df, lateness)
+
+
+def clean_accepted(df: DataFrame, source: str) -> DataFrame:
+    """Silver rows of what :func:`hazelake.operators.rejects.part` accepted of the named source."""
+    return clean_rows(df, "timestamp") if require_source(source) == STATION_SOURCE else clean_daily(df)
 
 
 def clean_all(daily: DataFrame, stations_df: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ from hazelake.schemas import PARTITION_COLUMNS, SILVER, SILVER_COLUMNS
 from hazelake.sources.paths import child, clear_folder, exists, file_listing
 
 
+#: Name of the dataset below the silver base.
+DATASET = "air_quality"
+
 # Up to this many folder names, a few megabytes, are sent to every task of a merge. Beyond it Spark joins
 # by shuffle.
 _MOST_BROADCAST_PARTITIONS = 100_000
