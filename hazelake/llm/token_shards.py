@@ -17,12 +17,10 @@ A shard is a row of a Parquet table, so that tasks that are repeated or lost lea
     sequence binary          symbols, unsigned 16 bit, little-endian; from the vocabulary's size on, rules
 """
 
-import re
 import uuid
 import zlib
-from collections import defaultdict
 from functools import cache, partial
-from itertools import batched, islice
+from itertools import batched
 
 import numpy as np
 import public_tokenizers
@@ -32,17 +30,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hazelake.llm.common import only, ragged, shared_dir, sliced
+from hazelake.llm.common import hinted, only, pieces_of, ragged, shared_dir, sliced
+from hazelake.llm.spans import span_hashes
 
 END_ID = 2
 SHARD_IDS = 1 << 20
 #: Rounds of replacement, pairs replaced in a round at most, and how often a pair must stand in a shard.
 ROUNDS, ROUND_PAIRS, LEAST_COUNT = 6, 4096, 12
 SYMBOLS = 1 << 16
-#: Distinct cuts whose ids a Python worker remembers, some 200 bytes each; beyond that it starts anew.
+#: Distinct cuts whose ids a Python worker remembers, some 40 bytes each; beyond that it starts anew.
 REMEMBERED = 1_000_000
-#: Documents that are encoded together.
-RUN_DOCS = 512
+#: Base of a cut's second hash.
+OTHER_BASE = 0xD6E8FEB86659FD93
+#: Bytes of texts that are encoded together; a longer text is a run of its own.
+RUN_BYTES = 2 << 20
 #: Cuts that are joined to one text for the tokenizer.
 JOINED = 512
 
@@ -69,15 +70,39 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
-# A full stop or comma between a letter and a blank begins a pre-token.
-_STOP = re.compile(r"(?<=[a-z])([.,])(?=[ \n])")
+_BLANK = np.zeros(256, bool)
+_BLANK[[10, 32]] = True
+_STOP, _SMALL = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[[44, 46]] = True
+_SMALL[97:123] = True
+
+
+def cuts_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the cuts of the texts ``data[offset:next offset]`` begin and end.
+
+    Spaces and line ends part cuts, texts do, and so does a full stop or comma between a small letter and a blank of the
+    same text: there pre-tokens end anyway.
+    """
+    n = len(data)
+    blank, border = _BLANK[data], np.zeros(n + 1, bool)
+    border[offsets] = True
+    begins = np.zeros(n, bool)
+    begins[1:] = blank[:-1]
+    begins[1:-1] |= _STOP[data[1:-1]] & _SMALL[data[:-2]] & blank[2:] & ~border[2:-1]
+    begins |= border[:-1]
+    begins &= ~blank
+    ends = border.copy()
+    ends[:-1] |= blank | begins
+    ends[1:] &= ~blank
+    ends[0] = False
+    return np.flatnonzero(begins), np.flatnonzero(ends)
 
 
 class Encoder:
     """Ids of texts.
 
-    Spaces and line ends part pre-tokens, and so does a stop after a letter; each distinct cut between them is encoded
-    once.
+    Each distinct cut is encoded once and known by two hashes of 64 bits from then on, so that what is remembered
+    is a few arrays of numbers. A cut that shares the first hash with another is encoded wherever it stands.
     """
 
     def __init__(self, path: str):
@@ -91,25 +116,50 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.known: dict[str, int] = defaultdict()
-        self.known.default_factory = self.known.__len__  # a new cut gets the next number
-        self.known[""]
-        self.flat, self.starts, self.lengths = np.zeros(0, np.uint16), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.known, self.other = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.flat, self.starts, self.lengths = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of each of the texts ``data[offset:next offset]``."""
         if len(self.known) > REMEMBERED:
             self._forget()
-        known, before = self.known, len(self.known)
-        cuts = [_STOP.sub(r" \1", text).replace("\n", " ").split(" ") for text in texts]
-        found = [np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)) for parts in cuts]
-        self._learn(list(islice(known, before, None)))
-        every = np.concatenate(found)
-        ids = self.flat[ragged(self.starts[every], self.lengths[every])]
-        sizes = [int(self.lengths[x].sum()) for x in found]
-        return np.split(ids, np.cumsum(sizes)[:-1])
-
-    def _learn(self, cuts: list[str]) -> None:
-        """Encode new cuts, many in one text with a special token between them, which costs less than each alone."""
+        begins, ends = cuts_of(data, offsets)
+        first, second = span_hashes(data, begins, ends), span_hashes(data, begins, ends, OTHER_BASE)
+        distinct, at, cut = np.unique(first, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = place < len(self.known)
+        new[inside] = self.known[place[inside]] != distinct[inside]
+        if new.any():
+            texts = self._texts(data, begins, ends, at[new])
+            self._learn(distinct[new], second[at[new]], texts, place[new])
+            place = np.searchsorted(self.known, distinct)
+        slot = place[cut]
+        lengths, sources = self.lengths[slot], self.starts[slot]
+        flat, odd = self.flat, np.flatnonzero(self.other[slot] != second)
+        if len(odd):  # another cut of the same first hash is known
+            ids, own = self._encoded(self._texts(data, begins, ends, odd))
+            lengths[odd], sources[odd] = own, len(flat) + np.cumsum(own) - own
+            flat = np.concatenate([flat, ids])
+        ids = flat[ragged(sources, lengths)]
+        totals = np.concatenate([[0], np.cumsum(lengths)])
+        return np.split(ids, totals[np.searchsorted(begins, offsets[1:-1])])
+
+    @staticmethod
+    def _texts(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, which: np.ndarray) -> list[str]:
+        whole = data.tobytes()
+        return [whole[a:b].decode() for a, b in zip(begins[which].tolist(), ends[which].tolist(), strict=True)]
+
+    def _learn(self, first: np.ndarray, second: np.ndarray, cuts: list[str], place: np.ndarray) -> None:
+        """Remember new cuts, whose hashes ascend, at their places among the known ones."""
+        ids, lengths = self._encoded(cuts)
+        starts = len(self.flat) + np.cumsum(lengths) - lengths
+        self.known, self.other = np.insert(self.known, place, first), np.insert(self.other, place, second)
+        self.starts, self.lengths = np.insert(self.starts, place, starts), np.insert(self.lengths, place, lengths)
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _encoded(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of cuts and how many each has; many go to the tokenizer in one text with a special token between them."""
         made = []
         for some in batched(cuts, JOINED):
             alone = some if self.between is None else [c for c in some if self.between in c]
@@ -120,11 +170,8 @@ class Encoder:
             else:
                 each = [np.array(self._encode(c), np.uint16) for c in some]
                 made.append((np.concatenate(each), np.array([len(x) for x in each])))
-        if made:
-            lengths = np.concatenate([n for _, n in made]).astype(np.int64)
-            starts = len(self.flat) + np.cumsum(lengths) - lengths
-            self.flat = np.concatenate([self.flat, *(ids for ids, _ in made)])
-            self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
+        ids, lengths = (np.concatenate(x) for x in zip(*made, strict=True))
+        return ids, lengths.astype(np.int64)
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -225,15 +272,16 @@ def _encoder(path: str) -> Encoder:
 def _shards(batches, path: str, end_id: int, shard_ids: int):
     encode, task, made = _encoder(path), TaskContext.get().partitionId(), 0
     doc_ids, ids, size, end = [], [], 0, np.array([end_id], np.uint16)
-    for batch in sliced(batches, RUN_DOCS):
-        texts = batch.column(1).fill_null("").to_pylist()
-        for doc_id, found in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
-            doc_ids.append(doc_id)
-            ids.append(np.concatenate([found, end]))
-            size += len(found) + 1
-            if size >= shard_ids:
-                yield _shard_row(task << 32 | made, doc_ids, ids, encode.size)
-                doc_ids, ids, size, made = [], [], 0, made + 1
+    for batch in batches:
+        numbers = batch.column(0).to_pylist()
+        for first, data, offsets in pieces_of(batch.column(1), RUN_BYTES):
+            for doc_id, found in zip(numbers[first:], encode(data, offsets), strict=False):
+                doc_ids.append(doc_id)
+                ids.append(np.concatenate([found, end]))
+                size += len(found) + 1
+                if size >= shard_ids:
+                    yield _shard_row(task << 32 | made, doc_ids, ids, encode.size)
+                    doc_ids, ids, size, made = [], [], 0, made + 1
     if ids:
         yield _shard_row(task << 32 | made, doc_ids, ids, encode.size)
 
@@ -298,7 +346,7 @@ def read_documents(spark: SparkSession, path: str, tokenizer: str | None = None)
     )
     places = places.join(F.broadcast(offsets), "task").select("shard", (F.col("offset") + F.col("inside")).alias("before"))
     base = _tokenizer(tokenizer or public_tokenizers.path("word_bpe_49k.json")).get_vocab_size()
-    return shards.join(places, "shard").mapInArrow(
+    return shards.join(hinted(places), "shard").mapInArrow(
         partial(_documents, base=base), "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
 
