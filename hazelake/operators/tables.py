@@ -38,17 +38,18 @@ def with_names(
     shuffled, each alias to ``SALTS`` places among which its rows are dealt, so that one alias that holds a third of all
     rows is no single task.
     """
-    known = checked_aliases(aliases)
+    known = checked_aliases(aliases).select(F.col("key").alias("_alias"), F.col("name").alias("_name"))
     keyed = df.withColumn("_alias_key", text_key(F.col(f"`{text_col}`")))
+    same = F.col("_alias_key") == F.col("_alias")
     if known.limit(most_broadcast + 1).count() <= most_broadcast:
-        joined = keyed.join(F.broadcast(known), F.col("_alias_key") == F.col("key"), "left")
+        joined = keyed.join(F.broadcast(known), same, "left")
     else:
         salted = keyed.withColumn("_salt", F.floor(F.rand(7) * SALTS).cast("int"))
-        copies = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        here = (F.col("_alias_key") == F.col("key")) & (F.col("_salt") == F.col("salt"))
+        copies = known.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        here = same & (F.col("_salt") == F.col("_copy"))
         joined = salted.hint("shuffle_hash").join(copies.hint("shuffle_hash"), here, "left")
     names = [F.col(f"`{name}`") for name in df.columns if name != name_col]
-    return joined.select(*names, F.col("name").alias(name_col))
+    return joined.select(*names, F.col("_name").alias(name_col))
 
 
 def _windows(key: Column, length: int) -> Column:

@@ -13,18 +13,30 @@ from hazelake.operators.standardize import with_date_columns, with_pollutant_and
 from hazelake.plans.silver import daily_silver, require_source
 from hazelake.schemas import IDENTITY_COLUMNS, SILVER_COLUMNS
 from hazelake.sources.bronze import BRONZE_SCHEMAS
-from hazelake.sources.paths import child
+from hazelake.sources.paths import child, file_listing
+
+# Up to this many dumps their times are sent to every task.
+_MOST_BROADCAST = 100_000
+
+
+def dump_times(spark: SparkSession, bronze_base: str, source: str) -> DataFrame:
+    """``dump, dumped_at``: name of each dump of a source and modification time of its newest file, from the listing."""
+    folder = child(bronze_base, require_source(source), SNAPSHOT_GLOBS[source])
+    name = F.substring_index(F.substring_index("path", f"/{source}/", -1), "/", 1)
+    return file_listing(spark, folder).groupBy(name.alias("dump")).agg(F.max("modificationTime").alias("dumped_at"))
 
 
 def read_dumps(spark: SparkSession, bronze_base: str, source: str) -> DataFrame:
-    """Records of all dumps of a source in JSON lines, with ``dumped_at`` and ``dump``, from one scan.
+    """Records of all dumps of a source in JSON lines, with ``dump`` and ``dumped_at``, from one scan.
 
-    Both come from the file's hidden metadata: its modification time, and the name of the dump it belongs to.
+    The name of a row's dump comes from the hidden metadata of its file; the few rows of :func:`dump_times` are joined to it.
     """
-    folder = child(bronze_base, require_source(source), SNAPSHOT_GLOBS[source])
+    times = dump_times(spark, bronze_base, source)
+    folder = child(bronze_base, source, SNAPSHOT_GLOBS[source])
     rows = spark.read.schema(BRONZE_SCHEMAS[source]).json(folder)
     name = F.substring_index(F.substring_index("_metadata.file_path", f"/{source}/", -1), "/", 1)
-    return rows.select("*", F.col("_metadata.file_modification_time").alias("dumped_at"), name.alias("dump"))
+    few = times.limit(_MOST_BROADCAST + 1).count() <= _MOST_BROADCAST
+    return rows.withColumn("dump", name).join(F.broadcast(times) if few else times, "dump")
 
 
 def newest_of_many(dumps: DataFrame, source: str) -> DataFrame:
