@@ -1,12 +1,15 @@
-"""Toxicity: class-conditional Kneser-Ney language models compared by length-normalised log-likelihood.
+"""Toxicity: class-conditional Kneser-Ney models compared by length-normalised log-likelihood.
 
-The models are over letters, since rude words come in many forms: a text is a sequence of 32 symbols (letters, digits,
-separators, and two for the bytes of other alphabets), and an expression is four of them in a row. Each class has
-its own counts of expressions. What a class has seen too rarely is smoothed by continuation counts of shorter
-expressions, which both classes share, so that a rare expression speaks for neither. The model is a table of 2**20
-log-likelihood ratios, bounded by the symbols whatever the corpus; the counts behind it are of every labelled text.
+The models are over words. Each class has its own counts of expressions, of documents that hold them, so that one long
+text does not decide. What a class has seen too rarely is smoothed by continuation counts, which both classes share: how
+many different words an expression follows. An expression speaks for a class only if its counts in the two differ more
+than chance would have it; all others are left to the shared counts and say nothing.
 
-The mean ratio per byte is turned into a probability by a logistic curve. It is fitted on the labelled texts, each
+Documents are read in runs. A run's pairs of a word and the one before it, with their counts by fold and class, are dealt
+out to buckets by the word, so that a bucket sees all counts and all predecessors of its words. What is left of
+it, the expressions that speak, grows with the corpus; it is joined to the words of every text as a sorted table.
+
+The mean ratio per word is turned into a probability by a logistic curve. It is fitted on the labelled texts, each
 scored by counts of the other folds.
 """
 
@@ -18,109 +21,190 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazelake.llm.common import fold_of, hinted, only, pieces_of
+from hazelake.llm.common import fold_of, hinted, only, pack, pieces_of, staged, unpack
+from hazelake.llm.spans import edges, mixed, span_hashes
 
-SYMBOLS, ORDER = 32, 4
-CODES = SYMBOLS**ORDER
 DISCOUNT = 0.75
+#: Likelihood-ratio statistic from which counts differ by more than chance: one word in a thousand exceeds it by chance.
+SPEAKS = 10.83
 #: Fold 0 is held out; the curve is fitted by scoring each of the others with the counts of the rest.
 FOLDS = 5
 #: Width of the steps in which mean ratios are counted for the curve.
 STEP = 0.0005
-#: Bytes that are looked at together.
-RUN_BYTES = 1 << 20
-
-_SYMBOL = np.zeros(256, np.int32)
-_SYMBOL[97:123] = _SYMBOL[65:91] = np.arange(1, 27)
-_SYMBOL[48:58] = 27
-_SYMBOL[128:192] = 28
-_SYMBOL[192:256] = 29
-
-
-def _codes(data: np.ndarray, offsets: np.ndarray):
-    """Runs of ``(codes, rows)``: the code that ends at each byte, where separators stand before each text."""
-    if len(offsets) > 2 or len(data) <= RUN_BYTES:
-        yield _run_codes(data, offsets)
-        return
-    for start in range(0, len(data), RUN_BYTES):  # a very long text, bit by bit
-        lead = min(start, ORDER - 1)
-        codes, row = _run_codes(data[start - lead : start + RUN_BYTES], np.array([0, len(data)]))
-        yield codes[lead:], row[lead:]
-
-
-def _run_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    rows = len(offsets) - 1
-    row = np.repeat(np.arange(rows), np.diff(offsets)) if rows > 1 else np.zeros(len(data), np.int64)
-    at = np.arange(len(data)) + (ORDER - 1) * (row + 1)
-    padded = np.zeros(len(data) + (ORDER - 1) * rows, np.int32)
-    padded[at] = _SYMBOL[data]
-    codes = padded[at]
-    for back in range(1, ORDER):
-        codes = codes + padded[at - back] * SYMBOLS**back
-    return codes, row
-
-
-def _count(batches):
-    """Per task: how often each code stands in texts of each fold and label (``2 * fold + label``)."""
-    total = np.zeros((2 * FOLDS, CODES), np.int32)
+#: Bytes that are looked at together when texts are counted and scored, and bytes of labelled text for each bucket.
+RUN_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
+#: Bits of a word's hash that tell it from others of its bucket.
+KEY_BITS = 32
+#: Kinds of labelled documents: ``2 * fold + class``.
+KINDS = 2 * FOLDS
+
+# Words are runs of letters and digits; all bytes of other alphabets are letters.
+_WORD = np.zeros(256, bool)
+_WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: What stands before the first word of a text.
+_START = np.uint64(1)
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of the texts ``data[offset:next offset]``, and the text it stands in."""
+    inside = _WORD[data]
+    starts, ends = edges(inside)
+    border = offsets[1:-1]
+    parted = border[(border > 0) & (border < len(data))]
+    parted = np.unique(parted[inside[parted] & inside[parted - 1]])  # a text that ends in a word before one that begins so
+    starts, ends = np.sort(np.concatenate([starts, parted])), np.sort(np.concatenate([ends, parted]))
+    hashes = span_hashes(_LOWER[data], starts, ends)
+    return hashes, np.searchsorted(offsets, starts, side="right") - 1
+
+
+def _key(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes >> np.uint64(64 - KEY_BITS - bits)
+
+
+def _count(batches, bits: int):
+    """Per run and bucket of words: words, words before them, kinds of the documents, and how many hold the pair."""
     for batch in batches:
-        kinds = np.asarray(batch.column(1))
-        for first, data, offsets in pieces_of(batch.column(0)):
-            kind = kinds[first : first + len(offsets) - 1]
-            for codes, row in _codes(data, offsets):
-                np.add.at(total, (kind[row], codes), 1)
-    for kind in range(2 * FOLDS):
-        seen = np.flatnonzero(total[kind])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(seen), kind), pa.int32()), pa.array(seen, pa.int32()), pa.array(total[kind, seen], pa.int64())],
-            names=["kind", "code", "n"],
-        )
-
-
-def _score(batches, tables: list[bytes]):
-    """The last column, a text, becomes its mean ratio; with several tables the first column is the fold of the row."""
-    ratios = [np.frombuffer(zstandard.decompress(table), np.float32) for table in tables]
+        kinds = np.asarray(batch.column(1)).astype(np.uint64)
+        for first, data, offsets in pieces_of(batch.column(0), RUN_BYTES):
+            hashes, row = _words(data, offsets)
+            before = np.full(len(hashes), _START, np.uint64)
+            follows = row[1:] == row[:-1]
+            before[1:][follows] = hashes[:-1][follows]
+            words, before = _key(hashes, bits), mixed(before) >> np.uint64(32)
+            kind = kinds[first + row]
+            # A document counts a word once: by the first place it stands at.
+            order = np.lexsort((np.arange(len(words)), row, words))
+            once = np.zeros(len(words), np.int64)
+            if len(order):
+                w, r = words[order], row[order]
+                once[order[np.concatenate([[True], (w[1:] != w[:-1]) | (r[1:] != r[:-1])])]] = 1
+            order = np.lexsort((kind, before, words))
+            w, b, k = words[order], before[order], kind[order]
+            if not len(w):
+                continue
+            begin = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (b[1:] != b[:-1]) | (k[1:] != k[:-1])]))
+            w, b, k, n = w[begin], b[begin], k[begin], np.add.reduceat(once[order], begin)
+            bounds = np.searchsorted(w, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(KEY_BITS))
+            low = (w & np.uint64((1 << KEY_BITS) - 1)).astype(np.uint32)
+            spans = [(i, x, y) for i, (x, y) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)) if y > x]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([i for i, _, _ in spans], pa.int64()),
+                    pa.array([pack(np.diff(low[x:y], prepend=np.uint32(0)), b[x:y], k[x:y], n[x:y]) for _, x, y in spans], pa.binary()),
+                ],
+                names=["bucket", "pairs"],
+            )
+
+
+def word_counts(pairs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``words, counts, continuations`` of a bucket: documents of each kind, and different words before each word."""
+    parts = [unpack(p) for p in pairs]
+    words = np.concatenate([np.cumsum(p[0], dtype=np.uint32) for p in parts])
+    before, kind, n = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+    order = np.lexsort((before, words))
+    words, before, kind, n = words[order], before[order], kind[order], n[order]
+    fresh = np.concatenate([[True], words[1:] != words[:-1]])
+    begin = np.flatnonzero(fresh)
+    counts = np.zeros((len(begin), KINDS), np.int64)
+    np.add.at(counts, (np.cumsum(fresh) - 1, kind), n)
+    pair = fresh.copy()
+    pair[1:] |= before[1:] != before[:-1]
+    return words[begin], counts, np.add.reduceat(pair.astype(np.int64), begin)
+
+
+def without_fold(counts: np.ndarray, fold: int) -> np.ndarray:
+    """Counts by class, without the documents of a fold; fold 0 is held out and so never among them."""
+    kept = counts.reshape(*counts.shape[:-1], FOLDS, 2).copy()
+    kept[..., fold, :] = 0
+    return kept.sum(axis=-2)
+
+
+def differs(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Likelihood-ratio statistic of the counts of words in both classes against the totals."""
+    share = totals / max(totals.sum(), 1)
+    expected = counts.sum(axis=1, keepdims=True) * share
+    return 2 * np.where(counts > 0, counts * np.log(np.maximum(counts, 1) / np.maximum(expected, 1e-300)), 0).sum(axis=1)
+
+
+def _speaking(totals: np.ndarray):
+    def of_bucket(table: pa.Table) -> pa.Table:
+        """The words of a bucket that speak with any fold left out; the first row carries the sums of all its words."""
+        words, counts, continuations = word_counts(table["pairs"].to_pylist())
+        speaks = np.zeros(len(words), bool)
+        for fold in range(FOLDS):
+            speaks |= differs(without_fold(counts, fold), without_fold(totals, fold)) >= SPEAKS
+        bucket = np.uint64(table["bucket"][0].as_py())
+        keys = bucket << np.uint64(KEY_BITS) | words[speaks].astype(np.uint64)
+        # What the discount takes from each class, with each fold left out.
+        taken = [np.minimum(without_fold(counts, fold), DISCOUNT).sum(axis=0).tolist() for fold in range(FOLDS)]
+        row = {
+            "keys": keys.astype("<u8").tobytes(),
+            "counts": counts[speaks].astype("<i8").tobytes(),
+            "continuations": continuations[speaks].astype("<i8").tobytes(),
+            "words": len(words),
+            "pairs": int(continuations.sum()),
+            "taken": [x for pair in taken for x in pair],
+        }
+        return pa.Table.from_pylist([row], _FOUND)
+
+    return of_bucket
+
+
+_FOUND = pa.schema(
+    [
+        ("keys", pa.binary()), ("counts", pa.binary()), ("continuations", pa.binary()),
+        ("words", pa.int64()), ("pairs", pa.int64()), ("taken", pa.list_(pa.float64())),
+    ]
+)
+
+
+def log_ratios(counts: np.ndarray, continuations: np.ndarray, totals: np.ndarray, taken: np.ndarray, words: int, pairs: int) -> np.ndarray:
+    """log P(word | toxic) - log P(word | ordinary): interpolated Kneser-Ney with shared continuation counts."""
+    shared = (continuations + 0.5) / (pairs + 0.5 * (words + 1))
+    weight = taken / np.maximum(totals, 1)
+    p = np.maximum(counts - DISCOUNT, 0) / np.maximum(totals, 1) + weight * shared[:, None]
+    return np.log(p[:, 1]) - np.log(p[:, 0])
+
+
+class Model:
+    """Ratios of the words that speak, and the logistic curve."""
+
+    def __init__(self, keys: np.ndarray, ratios: np.ndarray, bits: int, intercept: float = 0.0, slope: float = 0.0):
+        speaks = ratios != 0
+        self.packed = zstandard.compress(keys[speaks].astype("<u8").tobytes() + ratios[speaks].astype("<f4").tobytes(), 3)
+        self.bits, self.intercept, self.slope = bits, intercept, slope
+
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        data = zstandard.decompress(self.packed)
+        n = len(data) // 12
+        return np.frombuffer(data, "<u8", n), np.frombuffer(data, "<f4", n, 8 * n)
+
+
+def _mean_ratios(data: np.ndarray, offsets: np.ndarray, bits: int, tables: list, which: np.ndarray) -> np.ndarray:
+    """Mean ratio per word of each text, by the table its row names."""
+    hashes, row = _words(data, offsets)
+    keys, n = _key(hashes, bits), len(offsets) - 1
+    total = np.zeros(n)
+    for k, (known, ratios) in enumerate(tables):
+        of = np.flatnonzero(which[row] == k) if len(tables) > 1 else np.arange(len(keys))
+        if len(known) and len(of):
+            at = np.minimum(np.searchsorted(known, keys[of]), len(known) - 1)
+            total += np.bincount(row[of], np.where(known[at] == keys[of], ratios[at], 0), minlength=n)
+    return total / np.maximum(np.bincount(row, minlength=n), 1)
+
+
+def _score(batches, models: list[Model]):
+    """The last column, a text, becomes its mean ratio; with several models the first column is the number of the row's."""
+    tables = [model.table() for model in models]
     for batch in batches:
-        fold = np.asarray(batch.column(0)) if len(ratios) > 1 else None
+        which = np.asarray(batch.column(0)) if len(tables) > 1 else np.zeros(batch.num_rows, np.int32)
         means = np.zeros(batch.num_rows)
-        for first, data, offsets in pieces_of(batch.column(batch.num_columns - 1)):
-            n = len(offsets) - 1
-            total = np.zeros(n)
-            for codes, row in _codes(data, offsets):
-                if fold is None:
-                    total += np.bincount(row, ratios[0][codes], minlength=n)
-                    continue
-                for k in np.unique(fold[first : first + n]):
-                    own = fold[first : first + n][row] == k
-                    total += np.bincount(row[own], ratios[k][codes[own]], minlength=n)
-            means[first : first + n] = total / np.maximum(np.diff(offsets), 1)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(means)], names=[*batch.schema.names[:-1], "ratio"]
-        )
-
-
-def _shared_backoff(seen: np.ndarray) -> np.ndarray:
-    """P(last symbol | the others) of expressions one shorter than those of ``seen``, from continuation counts."""
-    kinds = seen.reshape(SYMBOLS, -1).sum(axis=0).astype(float)
-    if len(kinds) == SYMBOLS:
-        return (kinds + 1 / SYMBOLS) / (kinds.sum() + 1)
-    lower = np.tile(_shared_backoff(kinds > 0), SYMBOLS)
-    return _discounted(kinds, lower)
-
-
-def _discounted(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Interpolated Kneser-Ney: discounted counts per history, the rest spread like ``lower``."""
-    by_history = counts.reshape(-1, SYMBOLS)
-    total = np.repeat(by_history.sum(axis=1), SYMBOLS)
-    kinds = np.repeat((by_history > 0).sum(axis=1), SYMBOLS)
-    known = np.maximum(counts - DISCOUNT, 0) + DISCOUNT * kinds * lower
-    return np.where(total > 0, known / np.maximum(total, 1), lower)
-
-
-def log_ratios(toxic: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    """log P(symbol | history, toxic) - log P(symbol | history, ordinary) of every expression."""
-    lower = np.tile(_shared_backoff((toxic + ordinary) > 0), SYMBOLS)
-    return np.log(_discounted(toxic, lower)) - np.log(_discounted(ordinary, lower))
+        for first, data, offsets in pieces_of(batch.column(batch.num_columns - 1), RUN_BYTES):
+            rows = len(offsets) - 1
+            means[first : first + rows] = _mean_ratios(data, offsets, models[0].bits, tables, which[first : first + rows])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(means)], names=[*batch.schema.names[:-1], "ratio"])
 
 
 def _fit_curve(x: np.ndarray, positive: np.ndarray, negative: np.ndarray) -> tuple[float, float]:
@@ -140,15 +224,12 @@ def _fit_curve(x: np.ndarray, positive: np.ndarray, negative: np.ndarray) -> tup
     return float(beta[0]), float(beta[1] / scale)
 
 
-def _packed(toxic: np.ndarray, ordinary: np.ndarray) -> bytes:
-    return zstandard.compress(log_ratios(toxic, ordinary).astype(np.float32).tobytes(), 3)
-
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """The model of ``docs(doc_id, text, …)`` and ``labels(doc_id, toxic, …)``, from labelled rows outside fold 0.
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[bytes, float, float]:
-    """The table of ratios and the curve's intercept and slope, from labelled rows outside fold 0.
-
-    A document that is labelled several times is toxic if one label says so; labels other than 0 and 1 are ignored.
-    The driver gets at most 2**20 counts per fold and label and one row per step of the curve.
+    A document that is labelled several times is toxic if one label says so; labels other than 0 and 1 are ignored. All
+    labelled texts are counted. The driver gets the words that speak, one row per bucket, and one row per step of the
+    curve.
     """
     fold = fold_of(F.col("doc_id"), FOLDS)
     marks = (
@@ -158,29 +239,52 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[bytes, float, float]:
         .agg(F.max("toxic").cast("int").alias("label"))
     )
     rows = only(docs, "doc_id", "text").join(hinted(marks), "doc_id").withColumn("fold", fold)
-    counted = (
-        rows.select("text", (2 * F.col("fold") + F.col("label")).alias("kind"))
-        .mapInArrow(_count, "kind int, code int, n long")
-        .groupBy("kind", "code")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
-    )
-    counts = np.zeros((FOLDS, 2, CODES), np.float32)
-    counts.reshape(2 * FOLDS, CODES)[counted["kind"].to_numpy(), counted["code"].to_numpy()] = counted["n"].to_numpy()
-    ordinary, toxic = counts.sum(axis=0)
-    if not toxic.any() or not ordinary.any():  # nothing to compare
-        return _packed(toxic, toxic), (0.0 if toxic.any() else -30.0), 0.0
-    others = [_packed(toxic - counts[k, 1], ordinary - counts[k, 0]) for k in range(FOLDS)]
+    size, toxic, every = rows.agg(F.sum(F.octet_length("text")), F.sum("label"), F.count(F.lit(1))).first()
+    nothing = np.zeros(0, np.uint64), np.zeros(0)
+    if not toxic or toxic == every:  # nothing to compare
+        return Model(*nothing, 0, 0.0 if toxic else -30.0)
+    bits = max(4, (-(-(size or 0) // BUCKET_BYTES) - 1).bit_length())
+    kinds = rows.select("text", (2 * F.col("fold") + F.col("label")).alias("kind"))
+    pairs = staged(kinds.mapInArrow(partial(_count, bits=bits), "bucket long, pairs binary"), "toxicity-pairs")
+    totals = np.zeros(KINDS, np.int64)
+    for row in pairs.mapInArrow(_totals, "kind int, n long").groupBy("kind").agg(F.sum("n").alias("n")).collect():
+        totals[row["kind"]] = row["n"]
+    found = pairs.groupBy("bucket").applyInArrow(
+        _speaking(totals), "keys binary, counts binary, continuations binary, words long, pairs long, taken array<double>"
+    ).collect()
+    keys = np.concatenate([np.frombuffer(r["keys"], "<u8") for r in found] or [nothing[0]])
+    counts = np.concatenate([np.frombuffer(r["counts"], "<i8").reshape(-1, KINDS) for r in found] or [np.zeros((0, KINDS))])
+    continuations = np.concatenate([np.frombuffer(r["continuations"], "<i8") for r in found] or [nothing[1]])
+    words, types = sum(r["words"] for r in found), sum(r["pairs"] for r in found)
+    taken = np.sum([r["taken"] for r in found] or [np.zeros(KINDS)], axis=0).reshape(FOLDS, 2)
+    order = np.argsort(keys)
+    keys, counts, continuations = keys[order], counts[order], continuations[order]
+    models = []
+    for left_out in range(FOLDS):
+        own, of = without_fold(counts, left_out), without_fold(totals, left_out)
+        ratios = log_ratios(own, continuations, of, taken[left_out], words, types) if of.all() else np.zeros(len(keys))
+        models.append(Model(keys, np.where(differs(own, of) >= SPEAKS, ratios, 0.0), bits))
     step = F.round(F.col("ratio") / STEP).cast("int").alias("step")
     by_step = (
         rows.select("fold", "label", "text")
-        .mapInArrow(partial(_score, tables=others), "fold int, label int, ratio double")
+        .mapInArrow(partial(_score, models=models), "fold int, label int, ratio double")
         .groupBy(step)
         .agg(F.sum("label").alias("positive"), F.sum(1 - F.col("label")).alias("negative"))
         .toPandas()
     )
     at, positive, negative = (by_step[c].to_numpy(float) for c in ("step", "positive", "negative"))
-    return _packed(toxic, ordinary), *_fit_curve(at * STEP, positive, negative)
+    models[0].intercept, models[0].slope = _fit_curve(at * STEP, positive, negative)
+    return models[0]
+
+
+def _totals(batches):
+    """How many words the documents of each kind hold, each word once a document."""
+    for batch in batches:
+        total = np.zeros(KINDS, np.int64)
+        for pairs in batch.column(1).to_pylist():
+            _, _, kind, n = unpack(pairs)
+            total += np.bincount(kind, n, minlength=KINDS).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(KINDS, dtype=np.int32)), pa.array(total)], names=["kind", "n"])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -190,12 +294,12 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     null or empty text has a mean ratio of 0 and so the score of the curve there. Without labels of both kinds every
     score is about 0, or 0.5 if all labels are toxic. Repeated rows are scored each; a null id counts as held out.
     """
-    table, intercept, slope = learn(docs, labels)
+    model = learn(docs, labels)
     rows = only(docs, "doc_id", "text").select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "text")
     scored = rows.mapInArrow(
-        partial(_score, tables=[table]), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, ratio double"
+        partial(_score, models=[model]), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, ratio double"
     )
-    score = 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * F.col("ratio"))))
+    score = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * F.col("ratio"))))
     return scored.withColumn("score", score).select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )

@@ -3,8 +3,8 @@
 Vectors are scaled to unit length and halved, and each half has its own codebook; a pair of centroids is a cell of the
 product grid. Every vector stays in the cell next to it. From a vector, cells are visited in the order of their
 distance (a multi-sequence traversal of the two sorted lists of centroids) until the distance exceeds that of the
-nearest cell by a bound at which the target recall is met for vectors just at the threshold. What is met is verified
-with the exact cosine. As a pair may be found from either side, the recall of pairs lies above the target.
+nearest cell by a bound at which the target recall is met for vectors just at the threshold, in whichever coordinates
+they differ. What is met is verified with the exact cosine. As a pair may be found from either side, the recall of pairs lies above the target.
 
 Copies of a vector are one class, indexed once. A full cell is dealt out in blocks of bounded size, each compared as
 one product of matrices.
@@ -28,6 +28,8 @@ SAMPLE_ROWS = 20_000
 MOST_CENTROIDS, CELL_ROWS = 256, 16
 #: Share of vectors just at the threshold whose cell is visited from the other one.
 TARGET_RECALL = 0.95
+#: Numbers of coordinates that vectors at the threshold may differ in, beside one half and all of them.
+FEW = (1, 2, 4, 8)
 #: Rows of a block of those that stay in a cell, and of those that visit it.
 STAYING_ROWS, VISITING_ROWS = 2048, 8192
 ROUNDS = 10
@@ -85,17 +87,28 @@ class Grid:
         return [_distances(part, book) for part, book in zip(self.halves(unit), self.books, strict=True)]
 
     def _bound(self, unit: np.ndarray, threshold: float, recall: float) -> float:
-        """Quantile of how much farther than its own cell the cell of a vector at the threshold is."""
-        turn = np.random.default_rng(2)
-        aside = turn.normal(size=unit.shape)
-        aside -= (aside * unit).sum(axis=1, keepdims=True) * unit
-        length = np.linalg.norm(aside, axis=1, keepdims=True)
-        other = threshold * unit + (1 - threshold**2) ** 0.5 * aside / np.maximum(length, 1e-12)
-        near = self.distances(unit)
-        at = [d.argmin(axis=1) for d in self.distances(other)]
-        rows = np.arange(len(unit))
-        excess = sum(d[rows, a] - d.min(axis=1) for d, a in zip(near, at, strict=True))
-        return float(np.quantile(excess, recall)) + 1e-9
+        """Quantile of how much farther than its own cell the cell of a vector at the threshold is.
+
+        Vectors may differ in all coordinates, in one half, or in few of them, where a cell is left sooner; the bound is
+        the largest of all these cases.
+        """
+        turn, (n, width) = np.random.default_rng(2), unit.shape
+        near, rows, bounds = self.distances(unit), np.arange(n), []
+        few = [k for k in FEW if k < width]
+        for case in range(3 + len(few)):
+            aside = turn.normal(size=unit.shape)
+            if case in (1, 2):
+                aside[:, slice(self.half) if case == 1 else slice(self.half, width)] = 0
+            elif case > 2:
+                at = np.argsort(turn.random(unit.shape), axis=1)[:, few[case - 3] :]
+                np.put_along_axis(aside, at, 0, axis=1)
+            aside -= (aside * unit).sum(axis=1, keepdims=True) * unit
+            length = np.linalg.norm(aside, axis=1, keepdims=True)
+            other = threshold * unit + (1 - threshold**2) ** 0.5 * aside / np.maximum(length, 1e-12)
+            at = [d.argmin(axis=1) for d in self.distances(other)]
+            excess = sum(d[rows, a] - d.min(axis=1) for d, a in zip(near, at, strict=True))
+            bounds.append(np.quantile(excess, recall))
+        return float(max(bounds)) + 1e-9
 
     def cell(self, distances: list[np.ndarray]) -> np.ndarray:
         return distances[0].argmin(axis=1) * len(self.books[1]) + distances[1].argmin(axis=1)

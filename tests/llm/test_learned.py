@@ -1,6 +1,9 @@
 """Operators that learn or search: held-out accuracy, recall, SQL, and defined results in odd cases."""
 
 import math
+import random
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -60,20 +63,58 @@ def test_toxicity(spark, frame, docs, labels):
     assert toxicity.toxicity(frame([]), labels.limit(0)).count() == 0
 
 
-def test_kneser_ney_sums_to_one():
-    pick = np.random.default_rng(0)
-    counts = pick.poisson(0.001, toxicity.CODES).astype(float)
-    lower = np.tile(toxicity._shared_backoff(counts > 0), toxicity.SYMBOLS)
-    sums = toxicity._discounted(counts, lower).reshape(-1, toxicity.SYMBOLS).sum(axis=1)
-    assert np.allclose(sums, 1)
-
-
-def test_long_texts_are_scored_as_a_whole(monkeypatch):
-    text = np.frombuffer(b"some words, and more of them " * 50, np.uint8)
-    (whole, _), = toxicity._codes(text, np.array([0, len(text)]))
-    monkeypatch.setattr(toxicity, "RUN_BYTES", 100)
-    parts = [codes for codes, _ in toxicity._codes(text, np.array([0, len(text)]))]
-    assert (np.concatenate(parts) == whole).all() and len(parts) > 1
+def test_toxicity_finds_what_the_held_out_labels_mark(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    toxic, clean = [r for r in rows if r.toxic == 1], [r for r in rows if r.toxic == 0]
+    assert len(toxic) == 97 and sum(r.predicted for r in toxic) >= 87
+    assert sum(r.predicted for r in clean) <= 5
+
+
+def test_kneser_ney_by_brute_force(spark, monkeypatch):
+    """Counts by document, continuations, discounts and ratios against dictionaries; probabilities sum to one."""
+    pick = random.Random(4)
+    docs = [
+        (i, " ".join(pick.choice(["Ab", "b", "é", "dd", "e1", "vile", "c"][: 6 if i % 4 == 0 else 5]) for _ in range(pick.randint(0, 12))), i % 4 == 0)
+        for i in range(400)
+    ]
+    kept = [(t.lower().split(), zlib.crc32(str(i).encode()) % 5, bad) for i, t, bad in docs if zlib.crc32(str(i).encode()) % 5]
+    counts = {c: Counter(w for words, _, bad in kept if bad == c for w in set(words)) for c in (False, True)}
+    pairs = {(w, v) for words, _, _ in kept for v, w in zip(["^", *words], words)}
+    follows, n = Counter(w for w, _ in pairs), {c: sum(counts[c].values()) for c in counts}
+    shared = {w: (follows[w] + 0.5) / (len(pairs) + 0.5 * (len(follows) + 1)) for w in follows}
+
+    def p(c, w):
+        weight = sum(min(x, 0.75) for x in counts[c].values()) / n[c]
+        return max(counts[c][w] - 0.75, 0) / n[c] + weight * shared[w]
+
+    for c in counts:
+        unseen = sum(min(x, 0.75) for x in counts[c].values()) / n[c] * (0.5 / (len(pairs) + 0.5 * (len(follows) + 1)))
+        assert abs(sum(p(c, w) for w in follows) + unseen - 1) < 1e-9
+    share = n[True] / (n[True] + n[False])
+
+    def statistic(w):
+        a, b = counts[True][w], counts[False][w]
+        return 2 * sum(x * math.log(x / ((a + b) * q)) for x, q in ((a, share), (b, 1 - share)) if x)
+
+    wanted = sorted(math.log(p(True, w) / p(False, w)) for w in follows if statistic(w) >= toxicity.SPEAKS)
+    table = spark.createDataFrame([(i, t, "x") for i, t, _ in docs], "doc_id long, text string, ratio string").repartition(3)
+    labels = spark.createDataFrame([(i, int(bad)) for i, _, bad in docs], "doc_id long, toxic int")
+    model = toxicity.learn(table, labels)
+    found = sorted(model.table()[1].tolist())
+    assert len(wanted) >= 1 and np.allclose(found, wanted, atol=1e-5)
+    text = b"vile Vile b zz dd"
+    mean = toxicity._mean_ratios(np.frombuffer(text, np.uint8), np.array([0, len(text)]), model.bits, [model.table()], np.zeros(1, int))
+    ratio = {w: math.log(p(True, w) / p(False, w)) if statistic(w) >= toxicity.SPEAKS else 0 for w in follows}
+    assert np.allclose(mean, (2 * ratio["vile"] + ratio["b"] + ratio["dd"]) / 5, atol=1e-5)
+
+
+def test_words_of_neighbouring_texts_stay_apart():
+    data = np.frombuffer("ab cdÉf  gh".encode(), np.uint8)
+    whole, row = toxicity._words(data, np.array([0, 4, 4, 7, len(data)]))
+    alone, _ = toxicity._words(np.frombuffer(b"ab c", np.uint8), np.array([0, 4]))
+    assert row.tolist() == [0, 0, 2, 3, 3] and whole[:2].tolist() == alone.tolist()
 
 
 def test_overlaps_tolerate_a_substitution(spark, frame):
@@ -191,6 +232,35 @@ def test_near_vectors(spark, monkeypatch, blocks):
     assert (found["kept"] == (found["vec_id"] == found["component_id"])).all()
 
 
+@pytest.mark.parametrize("displaced", ["all", "half", "other half", "eight", "two", "one"])
+def test_recall_whatever_coordinates_differ(spark, displaced):
+    """Of pairs just at the threshold nine in ten are found, however few coordinates they differ in."""
+    pick, n, width = np.random.default_rng(7), 2500, 64
+    table = np.array([r.embedding for r in spark.read.parquet(f"{SF}/embeddings.parquet").limit(n).collect()], float)
+    base = table[pick.integers(0, len(table), n)] + pick.normal(0, 0.4, (n, width)) * table.std()
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    aside = np.zeros((n, width))
+    for i in range(n):
+        at = {"all": np.arange(width), "half": np.arange(width // 2), "other half": np.arange(width // 2, width)}.get(displaced)
+        at = pick.choice(width, {"eight": 8, "two": 2, "one": 1}.get(displaced, 1), replace=False) if at is None else at
+        aside[i, at] = pick.normal(size=len(at))
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    # The step that brings the cosine to a value just above the threshold.
+    along, t = (base * aside).sum(axis=1), pick.uniform(0.9002, 0.93, n)
+    low, high = np.zeros(n), np.full(n, 50.0)
+    for _ in range(60):
+        step = (low + high) / 2
+        cosine = (1 + step * along) / np.sqrt(1 + 2 * step * along + step**2)
+        low, high = np.where(cosine > t, step, low), np.where(cosine > t, high, step)
+    partner = base + low[:, None] * aside
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, partner]))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    unit = np.concatenate([base, partner / np.linalg.norm(partner, axis=1, keepdims=True)])
+    wanted = sum(int((unit[i : i + 500] @ unit.T >= 0.9).sum()) - 500 for i in range(0, 2 * n, 500)) if n % 250 == 0 else 0
+    found = vector_dedup.near_duplicates(frame).agg(F.sum("n_links")).first()[0]
+    assert 0.9 * wanted <= found <= wanted and wanted >= 2 * n * 0.9
+
+
 def test_vectors_that_cannot_be_compared(spark):
     rows = [
         (1, None), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [1.0, math.nan]), (5, [1.0, 0.0]), (None, [2.0, 0.0]),
