@@ -17,17 +17,19 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazelake.llm.common import only, ragged, sliced, staged
+from hazelake.llm.common import only, pieces_of, ragged, sliced, staged
 from hazelake.llm.fm_index import FMIndex
+from hazelake.llm.spans import edges, span_hashes
 
 WINDOW, GRAM = 20, 8
 #: Segments that a shard holds on average, and from how many of one minimizer its windows are grouped instead.
 SHARD_SEGMENTS, MOST_OF_ONE = 8192, 4096
+#: Segments that leave a task together.
+FOUND_ROWS = 65536
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Inverse of _ODD modulo 2**64.
@@ -35,8 +37,8 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _PLACE = ["doc_id", "mark", "at"]
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, *range(9, 14)]] = True
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -44,49 +46,77 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
-def segments(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM):
-    """``keys, starts, windows, contents`` of a document's segments, from the hashes of its words.
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of the texts ``data[offset:next offset]``, and how many words stand before each text."""
+    inside = ~_BLANK[data]
+    starts, ends = edges(inside)
+    border = offsets[1:-1]
+    border = border[(border > 0) & (border < len(data))]
+    parted = np.unique(border[inside[border] & inside[border - 1]])  # a text that ends in a word before one that begins so
+    starts, ends = np.sort(np.concatenate([starts, parted])), np.sort(np.concatenate([ends, parted]))
+    return span_hashes(data, starts, ends), np.searchsorted(starts, offsets)
 
-    A key is the minimizer, ``starts`` the word a segment begins with, ``windows`` how many windows it has, and
-    ``contents`` a hash of its words.
+
+def _smallest(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first smallest of each run of ``width`` values, by runs of doubled width."""
+    at, wide = np.arange(len(values)), 1
+    while wide < width:
+        step = min(wide, width - wide)
+        left, right = at[: len(at) - step], at[step:]
+        at = np.where(values[left] <= values[right], left, right)
+        wide += step
+    return at
+
+
+def segments(hashes: np.ndarray, bounds: np.ndarray, window: int = WINDOW, gram: int = GRAM):
+    """``rows, keys, starts, windows, contents`` of the segments of some documents, from the hashes of their words.
+
+    Document i has the words from ``bounds[i]`` on. A key is the minimizer, ``starts`` the word of the document that a
+    segment begins with, ``windows`` how many windows it has, and ``contents`` a hash of its words.
     """
-    count = len(hashes) - window + 1
+    nothing = tuple(np.zeros(0, np.int64) for _ in range(5))
+    count, size = len(hashes) - window + 1, len(hashes) - gram + 1
     if count <= 0:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
-    size = len(hashes) - gram + 1
+        return nothing
     grams = np.zeros(size, np.uint64)
     for i in range(gram):
         grams = _mixed(grams * _ODD + hashes[i : i + size])
-    wide = window - gram + 1
-    at = np.concatenate(
-        [
-            np.lib.stride_tricks.sliding_window_view(grams[i : i + 65536 + wide - 1], wide).argmin(axis=1) + i
-            for i in range(0, count, 65536)
-        ]
-    )
-    at = at + np.concatenate([np.arange(min(65536, count - i)) for i in range(0, count, 65536)])
-    starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    windows = np.diff(np.append(starts, count))
+    at = _smallest(grams, window - gram + 1)
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    whole = np.flatnonzero(row[window - 1 :] == row[:count])  # windows within one document
+    if not len(whole):
+        return nothing
+    first = np.ones(len(whole), bool)
+    first[1:] = (at[whole[1:]] != at[whole[:-1]]) | (whole[1:] != whole[:-1] + 1)
+    begin = np.flatnonzero(first)
+    starts, windows = whole[begin], np.diff(np.append(begin, len(whole)))
+    contents = span_hashes_of(hashes, starts, starts + windows + window - 1) + windows.astype(np.uint64)
+    keys, rows = grams[at[starts]].view(np.int64), row[starts]
+    return rows, keys, starts - bounds[rows], windows, _mixed(contents).view(np.int64)
+
+
+def span_hashes_of(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of words, which may overlap, from the hashes of the words."""
     power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(hashes) - 1, _ODD)]), dtype=np.uint64)
+    back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(hashes) - 1, _INVERSE)]), dtype=np.uint64)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_mixed(hashes) * power, dtype=np.uint64)])
-    back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(starts[-1]), _INVERSE)]), dtype=np.uint64)
-    content = _mixed((sums[starts + windows + window - 1] - sums[starts]) * back[starts] + windows.astype(np.uint64))
-    return grams[at[starts]].view(np.int64), starts, windows, content.view(np.int64)
+    return (sums[ends] - sums[starts]) * back[starts]
 
 
 def _find(batches, window: int):
-    for batch in sliced(batches, 256):
-        found = [segments(_hashes((text or "").encode().split()), window) for text in batch.column(2).to_pylist()]
-        sizes = np.array([len(x[0]) for x in found])
-        of = pa.array(np.repeat(np.arange(len(found)), sizes))
-        key, at, windows, content = (np.concatenate([x[k] for x in found]) for k in range(4))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(of), batch.column(1).take(of), pa.array(at.astype(np.int32)),
-                pa.array(windows.astype(np.int32)), pa.array(key), pa.array(content),
-            ],
-            names=["doc_id", "mark", "at", "windows", "key", "content"],
-        )
+    for batch in batches:
+        for first, data, offsets in pieces_of(batch.column(2)):
+            rows, key, at, windows, content = segments(*word_hashes(data, offsets), window)
+            for i in range(0, len(rows), FOUND_ROWS):
+                cut = slice(i, i + FOUND_ROWS)
+                of = pa.array(first + rows[cut])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(of), batch.column(1).take(of), pa.array(at[cut].astype(np.int32)),
+                        pa.array(windows[cut].astype(np.int32)), pa.array(key[cut]), pa.array(content[cut]),
+                    ],
+                    names=["doc_id", "mark", "at", "windows", "key", "content"],
+                )
 
 
 def _cut(batches, window: int):
@@ -94,7 +124,8 @@ def _cut(batches, window: int):
     unpack = zstandard.ZstdDecompressor()
     for batch in sliced(batches, 64):
         for row in batch.to_pylist():
-            hashes = _hashes(unpack.decompress(row["text"]).split()).view(np.int64)
+            data = np.frombuffer(unpack.decompress(row["text"]), np.uint8)
+            hashes = word_hashes(data, np.array([0, len(data)]))[0].view(np.int64)
             wanted = row["wanted"]
             words = [hashes[w["at"] : w["at"] + w["windows"] + window - 1] for w in wanted]
             yield pa.RecordBatch.from_pylist(
