@@ -29,8 +29,8 @@ def label_by_limits(value: Column, limits: Column | Sequence[float]) -> Column:
     ``limits`` is a list of numbers or an array column with one limit for every label but the last.
     NaN is above every limit.
     """
-    bands = F
-    for i, name in enumerate(RISK_LABELS[:-1]):
+    bands = F.when(value <= limits[0], F.lit(RISK_LABELS[0]))
+    for i, name in enumerate(RISK_LABELS[1:-1], 1):
         bands = bands.when(value <= limits[i], F.lit(name))
     return bands.otherwise(F.lit(RISK_LABELS[-1]))
 

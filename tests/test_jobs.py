@@ -6,7 +6,7 @@ import pytest
 
 from hazelake import __main__ as cli
 from hazelake.plans import jobs
-from hazelake.plans.session import create_session, shuffle_sized_for
+from hazelake.plans.session import create_session, size_shuffles
 from hazelake.plans.silver import clean_daily
 from hazelake.sources.bronze import DOCUMENT, INDENTED, LINES, land_snapshot
 from hazelake.sources.silver import read_silver
@@ -104,8 +104,6 @@ def test_command_line(tmp_path, monkeypatch, spark):
     base, silver = bronze(tmp_path), str(tmp_path / "silver")
     args = ["--bronze", base, "--silver", silver]
     assert cli.main([*args, "--dry-run"]) == 0
-    assert cli.main([*args, "--skip-ingest"]) == 0
-    assert not os.path.exists(silver)
 
     class Kept:
         """The test session, which the command must not stop."""
@@ -114,11 +112,34 @@ def test_command_line(tmp_path, monkeypatch, spark):
             return (lambda: None) if name == "stop" else getattr(spark, name)
 
     monkeypatch.setattr(cli, "create_session", Kept)
-    assert cli.main([*args, "--source", "opendosm"]) == 0
-    assert read_silver(spark, silver + "/air_quality").count() == 1
-    assert cli.main(["--bronze", str(tmp_path / "none"), "--silver", silver]) == 1
-    with pytest.raises(SystemExit):
-        cli.main([*args, "--source", "other"])
+    try:
+        assert cli.main([*args, "--skip-ingest"]) == 0
+        assert not os.path.exists(silver)
+        assert cli.main([*args, "--source", "opendosm"]) == 0
+        assert read_silver(spark, silver + "/air_quality").count() == 1
+        assert cli.main(["--bronze", str(tmp_path / "none"), "--silver", silver]) == 1
+        with pytest.raises(SystemExit):
+            cli.main([*args, "--source", "other"])
+    finally:
+        spark.conf.unset(INITIAL)
+
+
+def test_command_line_lands_and_streams(tmp_path, monkeypatch, spark):
+    class Kept:
+        def __getattr__(self, name):
+            return (lambda: None) if name == "stop" else getattr(spark, name)
+
+    monkeypatch.setattr(cli, "create_session", Kept)
+    page = tmp_path / "landing" / "opendosm" / "run=a" / "offset=0"
+    page.mkdir(parents=True)
+    rows = [{"date": f"2026-05-{d:02d}", "pollutant": "co", "concentration": d} for d in range(1, 6)]
+    (page / "page.json").write_text(json.dumps({"data": [*rows, {"date": "never"}]}))
+    places = [f"--{name}={tmp_path / name}" for name in ("bronze", "silver", "landing", "rejects")]
+    for _ in range(2):
+        assert cli.main([*places, "--source", "opendosm", "--stream"]) == 0
+    assert read_silver(spark, str(tmp_path / "silver" / "air_quality")).count() == 5
+    rejects = spark.read.parquet(str(tmp_path / "rejects" / "opendosm" / "batch=0" / "taken=false"))
+    assert [r.reason for r in rejects.collect()] == ["missing pollutant"]
 
 
 def test_session_settings(spark):
@@ -143,15 +164,20 @@ def test_session_settings(spark):
 
 def test_shuffles_start_with_partitions_for_their_input(spark):
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    with shuffle_sized_for(spark, 10) as count:
-        assert count == least
-    with shuffle_sized_for(spark, 256 * 2**20 * 1000 + 1) as count:
-        assert count == 1001 and spark.conf.get(INITIAL) == "1001"
-    with shuffle_sized_for(spark, 100 * 10**12) as count:
-        assert count == -(-100 * 10**12 // (256 * 2**20))
-    assert spark.conf.get(INITIAL, None) is None
+    for size, wanted in ((10, least), (256 * 2**20 * 1000 + 1, 1001), (100 * 10**12, -(-100 * 10**12 // (256 * 2**20)))):
+        assert size_shuffles(spark, size) == wanted == int(spark.conf.get(INITIAL))
+        spark.conf.unset(INITIAL)
     spark.conf.set(INITIAL, "7")
-    with shuffle_sized_for(spark, 10**12) as count:
-        assert count == 7
-    assert spark.conf.get(INITIAL) == "7"
-    spark.conf.unset(INITIAL)
+    try:
+        assert size_shuffles(spark, 10**12) == 7
+    finally:
+        spark.conf.unset(INITIAL)
+
+
+def test_jobs_leave_the_session_as_it_is(spark, tmp_path):
+    def settings():
+        return {r.key: r.value for r in spark.sql("SET").collect()}
+
+    before = settings()
+    jobs.run(spark, bronze(tmp_path), str(tmp_path / "silver"), merge=True, rejects=str(tmp_path / "rejects"))
+    assert settings() == before
