@@ -60,7 +60,7 @@ def ingest(
         folder = child(rejects, source, snapshot.path.rstrip("/").rsplit("/", 1)[-1])
         parted = part(judged(raw, source), folder)
         written = _store(clean_accepted(parted.accepted, source), silver_path, mode, merge)
-        clear_folder(spark, child(folder, "taken=true"))
+        clear_folder(spark, child(folder, "taken=true"), parted.rejected.schema)
         report = IngestReport(source, snapshot.path, silver_path, written, parted.rejected_by_reason, parted.taken)
     logger.info("Wrote %s rows of %s from %s to %s; rejected %s", written, source, snapshot.path, silver_path, report.rejected)
     return report

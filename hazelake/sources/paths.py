@@ -6,6 +6,7 @@ from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def child(base, *parts: str) -> str:
@@ -56,6 +57,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def clear_folder(spark: SparkSession, path: str) -> None:
-    """Empty a folder this library staged: Spark puts an empty table in the place of what it holds."""
-    spark.createDataFrame([], "value string").coalesce(1).write.mode("overwrite").text(str(path))
+def clear_folder(spark: SparkSession, path: str, schema: StructType | None = None) -> None:
+    """Empty a folder this library staged: Spark puts an empty table in the place of what it holds.
+
+    With a schema that table is Parquet, so that the folder above can still be read whole.
+    """
+    empty = spark.createDataFrame([], schema or "value string").coalesce(1).write.mode("overwrite")
+    empty.parquet(str(path)) if schema else empty.text(str(path))

@@ -50,8 +50,8 @@ def _land_pages(batch: DataFrame, batch_id: int, bronze_base: str, limit: int) -
     runs = part(judged.select("run", "offset", "data", "size", late.alias("reason")), child(folder, "runs"))
     records = flatten_pages(runs.accepted)
     records.write.mode("overwrite").option("ignoreNullFields", False).json(child(bronze_base, DAILY_SOURCE, name))
-    clear_folder(spark, child(folder, "pages", "taken=true"))
-    clear_folder(spark, child(folder, "runs", "taken=true"))
+    clear_folder(spark, child(folder, "pages", "taken=true"), pages.rejected.schema)
+    clear_folder(spark, child(folder, "runs", "taken=true"), runs.rejected.schema)
     return Parted(records, pages.rejected, runs.taken, pages.rejected_by_reason | runs.rejected_by_reason)
 
 
@@ -62,7 +62,7 @@ def _land_documents(batch: DataFrame, batch_id: int, bronze_base: str, source: s
     docs = part(judged_documents(batch), folder)
     kept = docs.accepted.select("location_id", "results")
     kept.write.mode("overwrite").option("ignoreNullFields", False).json(child(bronze_base, source, name))
-    clear_folder(spark, child(folder, "taken=true"))
+    clear_folder(spark, child(folder, "taken=true"), docs.rejected.schema)
     return docs
 
 

@@ -58,10 +58,11 @@ def ingest_stream(
             broken = F.assert_true(F.col("raw").isNull(), message)
             accepted = batch.where(broken.isNull() & F.col("reason").isNull()).drop("reason", "raw")
         else:
-            accepted = part(batch, folder).accepted
+            parted = part(batch, folder)
+            accepted = parted.accepted
         written = merge_silver(clean_accepted(accepted, source), silver_path)
         if folder is not None:
-            clear_folder(spark, child(folder, "taken=true"))
+            clear_folder(spark, child(folder, "taken=true"), parted.rejected.schema)
         if log is not None:
             log.wrote(batch_id, written)
 
