@@ -38,6 +38,26 @@ def test_pages_behind_the_end_are_rejects_whenever_they_come(spark, tmp_path):
     assert {(r.taken, r.reason) for r in parted.collect()} == {("true", None), ("false", "after the end of the run")}
 
 
+def test_open_visits_are_a_table_that_later_batches_join(spark, tmp_path):
+    landed, base, progress = str(tmp_path / "pages"), str(tmp_path / "runs"), tmp_path / "p"
+
+    def arrive(*pages):
+        rows = [(run, offset, size, START + timedelta(minutes=minute)) for run, offset, size, minute in pages]
+        spark.createDataFrame(rows, LAYOUT).coalesce(1).write.mode("append").parquet(landed)
+        stream, stored = spark.readStream.schema(LAYOUT).parquet(landed), spark.read.schema(LAYOUT).parquet(landed)
+        follow_runs(stream, stored, base, str(progress), "10 minutes", "5 minutes", limit=2).awaitTermination()
+        closed = spark.read.parquet(base + "/closed").collect()
+        return sorted((r.run, (r.last_at - r.first_at).seconds // 60, r.end, r.pages) for r in closed)
+
+    assert arrive(("a", 0, 2, 0), ("a", 2, 2, 12), ("b", 0, 2, 0)) == []
+    assert not (progress / "state").exists()  # nothing is held in memory until its time has passed
+    # a's two visits are one by a page that comes between them, b's goes on from where it lay
+    assert arrive(("a", 4, 1, 6), ("b", 2, 2, 9), ("c", 0, 2, 14)) == []
+    assert arrive(("d", 0, 2, 40)) == [("a", 12, 4, 3), ("b", 9, None, 2), ("c", 0, None, 1)]
+    # a page that comes after its time is in no visit
+    assert arrive(("e", 0, 2, 20), ("d", 2, 1, 41)) == [("a", 12, 4, 3), ("b", 9, None, 2), ("c", 0, None, 1)]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_copies_are_one_reading_in_any_order_of_dumps(spark, tmp_path, seed):
     rows = random_daily(240) + [("2026-08-01", "co", 1.0), ("2026-08-02", "co", None)]
