@@ -149,7 +149,7 @@ def _page_number() -> Column:
 
 
 def landed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """All events as responses in ``run=…/offset=…/<file>``, a page of records each, in the shapes a response has.
+    """All events as bundled responses ``run, offset, body``, a page of records each, in the shapes a response has.
 
     Of eleven pages one was cut off, and the last of each run but the longest is one record short.
     """
@@ -164,16 +164,16 @@ def landed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
     run = F.floor(F.col("page") / RUN_PAGES).cast("string")
     offset = F.col("page") % RUN_PAGES * PAGE_EVENTS
-    placed = pages.select(run.alias("run"), offset.alias("offset"), body.alias("value"))
-    placed.repartition("run").write.partitionBy("run", "offset").text(path)
+    pages.select(run.alias("run"), offset.alias("offset"), body.alias("body")).write.parquet(path)
 
 
 def landed_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """All events as station documents, an array of them in each response; of thirteen responses one was cut off."""
+    """All events as bundled station documents, an array of them in each response; of thirteen responses one was cut off."""
     rows = stations(spark, sf_dir, "event_id").withColumn("page", _page_number())
     pages = rows.groupBy("page").agg(F.collect_list(F.struct("location_id", "results")).alias("docs"))
     body = F.when(F.col("page") % 13 == 5, F.lit('[{"location_id": "1", "results": [')).otherwise(F.to_json("docs"))
-    pages.select(body.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    name = F.concat(F.lit("part-"), F.col("page"), F.lit(".txt"))
+    pages.select(name.alias("path"), body.alias("body")).write.parquet(path)
 
 
 def further_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -390,14 +390,14 @@ def document_roundtrip(spark, sf_dir):
 def land_daily(spark, sf_dir):
     landing, base = shared_folder(spark, "landing"), shared_folder(spark, "bronze")
     bridge.landed_pages(spark, sf_dir, landing)
-    land(spark, landing, base, DAILY_SOURCE, shared_folder(spark, "progress"), bridge.PAGE_EVENTS).awaitTermination()
+    land(spark, landing, base, DAILY_SOURCE, shared_folder(spark, "progress"), bridge.PAGE_EVENTS, bundled=True).awaitTermination()
     return read_bronze(spark, latest_snapshot(spark, base, DAILY_SOURCE).path, DAILY_SOURCE)
 
 
 def rejected_pages_text(spark, sf_dir):
     landing, base = shared_folder(spark, "landing"), shared_folder(spark, "bronze")
     bridge.landed_pages(spark, sf_dir, landing)
-    land(spark, landing, base, DAILY_SOURCE, shared_folder(spark, "progress"), bridge.PAGE_EVENTS).awaitTermination()
+    land(spark, landing, base, DAILY_SOURCE, shared_folder(spark, "progress"), bridge.PAGE_EVENTS, bundled=True).awaitTermination()
     rejects = rejected_responses(spark, base, DAILY_SOURCE)
     return rejects.withColumn("raw", F.rtrim("raw", F.lit("\n")))
 
@@ -405,7 +405,7 @@ def rejected_pages_text(spark, sf_dir):
 def land_stations(spark, sf_dir):
     landing, base = shared_folder(spark, "landing"), shared_folder(spark, "bronze")
     bridge.landed_documents(spark, sf_dir, landing)
-    land(spark, landing, base, STATION_SOURCE, shared_folder(spark, "progress")).awaitTermination()
+    land(spark, landing, base, STATION_SOURCE, shared_folder(spark, "progress"), bundled=True).awaitTermination()
     dump = latest_snapshot(spark, base, STATION_SOURCE)
     return station_rows_outer(read_bronze(spark, dump.path, STATION_SOURCE, dump.layout))
 

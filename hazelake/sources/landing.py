@@ -25,8 +25,14 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return page_bodies(spark.read, path)
 
 
-def page_bodies(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
-    """:func:`read_pages` through a batch or a stream reader."""
+def page_bodies(reader: DataFrameReader | DataStreamReader, path: str, bundled: bool = False) -> DataFrame:
+    """:func:`read_pages` through a batch or a stream reader.
+
+    ``bundled`` pages are rows ``run, offset, body`` of Parquet files, many in each, so that files do not grow in number
+    with the responses.
+    """
+    if bundled:
+        return reader.schema("run string, offset long, body string").parquet(str(path))
     layout = "value string, run string, offset long"
     return reader.schema(layout).text(str(path), wholetext=True).select("run", "offset", F.col("value").alias("body"))
 
@@ -131,12 +137,21 @@ def tag_request_key(docs: DataFrame, key: Column, name: str = "location_id") ->
 
 
 def document_bodies(
-    reader: DataFrameReader | DataStreamReader, path: str, key_pattern: str = r"(\d+)[^/]*\.json$"
+    reader: DataFrameReader | DataStreamReader,
+    path: str,
+    key_pattern: str = r"(\d+)[^/]*\.json$",
+    bundled: bool = False,
 ) -> DataFrame:
     """``location_id, body, path`` of station documents landed one response per file.
 
     The id is the one in the file's name, null without one. A failed request lands no file, so its id is absent.
+    ``bundled`` responses are rows ``path, body`` of Parquet files, many in each; ``path`` is the name that a file of
+    their own would have.
     """
+    if bundled:
+        rows = reader.schema("path string, body string").parquet(str(path))
+        key = F.nullif(F.regexp_extract("path", key_pattern, 1), F.lit(""))
+        return rows.select(key.alias("location_id"), "body", "path")
     files = reader.schema("value string").text(str(path), wholetext=True)
     key = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), key_pattern, 1), F.lit(""))
     return files.select(key.alias("location_id"), F.col("value").alias("body"), F.col("_metadata.file_path").alias("path"))

@@ -74,19 +74,22 @@ def land(
     checkpoint: str,
     limit: int = PAGE_LIMIT,
     max_files: int | None = None,
+    bundled: bool = False,
 ) -> StreamingQuery:
     """Land all responses that have arrived in ``landing`` since the last run as dumps of the source, then stop.
 
-    Pages lie in ``run=…/offset=…/<file>``, station documents one per file; the dumps in ``<bronze_base>/<source>``
-    are JSON lines, which :func:`hazelake.ingest_latest` and :func:`hazelake.ingest_stream` take.
+    Pages lie in ``run=…/offset=…/<file>``, station documents one per file; ``bundled`` responses are rows of Parquet
+    files instead (:func:`page_bodies`, :func:`document_bodies`), as a file each costs more than what is in it once there
+    are many. The dumps in ``<bronze_base>/<source>`` are JSON lines, which :func:`hazelake.ingest_latest` and
+    :func:`hazelake.ingest_stream` take.
     """
     if source not in SOURCES:
         raise ValueError(f"Unsupported air-quality source: {source}")
     reader = spark.readStream.option("maxFilesPerTrigger", max_files) if max_files else spark.readStream
     if source == DAILY_SOURCE:
-        rows, write = page_bodies(reader, landing), partial(_land_pages, bronze_base=bronze_base, limit=limit)
+        rows, write = page_bodies(reader, landing, bundled), partial(_land_pages, bronze_base=bronze_base, limit=limit)
     else:
-        rows, write = document_bodies(reader, landing), partial(_land_documents, bronze_base=bronze_base, source=source)
+        rows, write = document_bodies(reader, landing, bundled=bundled), partial(_land_documents, bronze_base=bronze_base, source=source)
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         write(batch, batch_id)

@@ -49,3 +49,12 @@ def test_indented_files_grow_in_number(spark, monkeypatch):
     files = [name for name in rows.inputFiles() if "part-" in name]
     assert rows.count() == events.count()
     assert len(files) == events.selectExpr("floor(event_id / 100)").distinct().count()
+
+
+def test_landed_responses_grow_in_rows_not_in_files(spark, tmp_path):
+    for land, name in ((queries.bridge.landed_pages, "pages"), (queries.bridge.landed_documents, "documents")):
+        path = str(tmp_path / name)
+        land(spark, SF_DIR, path)
+        events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+        responses = events.selectExpr("floor(event_id / 100)").distinct().count()
+        assert spark.read.parquet(path).count() == responses > len(spark.read.parquet(path).inputFiles())

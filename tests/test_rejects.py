@@ -140,6 +140,24 @@ def test_documents_land_with_their_keys(spark, tmp_path):
         land(spark, str(source), base, "other", str(tmp_path / "p"))
 
 
+def test_bundled_responses_land_like_files(spark, tmp_path):
+    doc = {"results": [station(5, "KLCC", [sensor("co")])], "location_id": 999}
+    pages = [("a", 0, json.dumps([record(1), record(2)])), ("a", 2, '{"data": [{"date'), ("a", 4, json.dumps(record(3))), ("a", 6, json.dumps(record(4)))]
+    docs = [("x/location_77.json", json.dumps(doc)), ("x/location_78.json", json.dumps(doc)[:-30]), ("part-1.txt", json.dumps([doc]))]
+    for name, rows, layout in (("opendosm", pages, "run string, offset long, body string"), ("openaq", docs, "path string, body string")):
+        source = str(tmp_path / name)
+        spark.createDataFrame(rows, layout).coalesce(1).write.parquet(source)
+        land(spark, source, str(tmp_path / "b"), name, str(tmp_path / "p" / name), limit=2, bundled=True).awaitTermination()
+    base = str(tmp_path / "b")
+    assert sorted(int(r.concentration) for r in spark.read.json(child(base, "opendosm", "*.json")).collect()) == [1, 2, 3]
+    found = spark.read.json(child(base, "openaq", "*.json")).collect()
+    assert sorted(r.location_id for r in found) == ["77", "999"]
+    assert sorted((r.offset, r.reason) for r in rejected_responses(spark, base, "opendosm").collect()) == [
+        (2, "unreadable response"), (6, "after the end of the run")
+    ]
+    assert [(r.location_id, r.path) for r in rejected_responses(spark, base, "openaq").collect()] == [("78", "x/location_78.json")]
+
+
 def test_no_station_document_is_lost(spark, tmp_path):
     doc = json.dumps({"results": [station(5, "KLCC", [sensor("co")])]})
     for text in (doc[:-20], doc + "\n" + doc, doc + " end"):
