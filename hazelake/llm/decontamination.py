@@ -27,6 +27,8 @@ KEYS_PER_PASS = BROADCAST_ROWS
 BYTES_PER_PASS = 128 << 20
 #: Words from which on a short item may differ in one.
 TOLERANT = 8
+#: Windows of a document that are looked up in one go. All hits of a run are in memory at once.
+RUN = 256
 #: Longer words are compared by their SHA-256, so that a row of the benchmark is bounded.
 LONG_WORD = 64
 #: Blocks of scripts that put no blanks between words: Thai, Lao, Myanmar, Khmer, kana, Han.
@@ -45,6 +47,25 @@ def _windows(df: DataFrame, shortest: int = SPAN) -> DataFrame:
     return hashed.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - shortest)))
 
 
+def _run_windows(docs: DataFrame, shortest: int) -> DataFrame:
+    """Like :func:`_windows` for ``docs(doc_id, words)``, but ``words`` are those of a run and ``FLANK`` around it.
+
+    The generated code holds the rows that it makes of one row until it has made them all. So a long document is dealt
+    out first, by an expression that Spark evaluates row by row; a run has all the words that its windows are hashed and
+    compared on.
+    """
+    starts = F.sequence(F.lit(0), F.size("words") - shortest, F.lit(RUN))
+
+    def run(start: Column) -> Column:
+        lead = F.least(start, F.lit(FLANK))
+        return F.struct(lead.alias("lead"), F.slice("words", start - lead + 1, FLANK + RUN + SPAN + FLANK).alias("words"))
+
+    runs = docs.select("doc_id", F.inline(F.when(F.size("words") >= shortest, F.transform(starts, run))))
+    hashed = runs.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    last = F.least(F.col("lead") + (RUN - 1), F.size("words") - shortest)
+    return hashed.withColumn("at", F.explode(F.sequence("lead", last)))
+
+
 def _places(length: int) -> list[list[int]]:
     """What each mask of a window of so many words looks at; all words of one that must stand whole."""
     if length < TOLERANT:
@@ -117,7 +138,7 @@ def overlaps(
     """``doc_id, item_id`` once for each verified overlap of ``docs(doc_id, text)`` with ``benchmark(item_id, text)``.
 
     The keys of the benchmark and their bytes are counted, and broadcast in parts of bounded size, one pass over ``docs``
-    for each. A key has the few words around its window with it, not the item.
+    for each. A key has the few words around its window with it, not the item, and so has a hit those of the document.
     """
     keys = benchmark_windows(benchmark).distinct()
     size = 64 + 16 * F.size("around") + F.octet_length(F.array_join("around", ""))
@@ -125,16 +146,18 @@ def overlaps(
     passes = max(1, -(-count // keys_per_pass), -(-total // bytes_per_pass))
     lengths = [*_short_lengths(benchmark), SPAN]
     rows = only(docs, "doc_id", "text").select("doc_id", words(F.col("text")).alias("words"))
-    windows = _windows(rows, lengths[0]).select("doc_id", "words", "at", F.explode(_keys(lengths)).alias("key"))
+    windows = _run_windows(rows, lengths[0]).select("doc_id", "words", "at", F.explode(_keys(lengths)).alias("key"))
     windows = windows.where("key is not null")
     share = F.pmod(F.xxhash64("key", F.lit(passes)), F.lit(passes))
     hits = reduce(
         DataFrame.unionByName, (windows.join(F.broadcast(keys.where(share == i)), "key") for i in range(passes))
     )
+    own = F.array(*(F.get("words", F.col("at") + i) for i in range(-FLANK, SPAN + FLANK)))
+    hits = hits.select("doc_id", "item_id", "around", "least", own.alias("own"))
     equal = F.size(
         F.filter(
-            F.sequence(F.lit(-FLANK), F.lit(SPAN + FLANK - 1)),
-            lambda i: _comparable(F.get("words", F.col("at") + i)) == F.get("around", i + FLANK),
+            F.sequence(F.lit(0), F.lit(SPAN + 2 * FLANK - 1)),
+            lambda i: _comparable(F.get("own", i)) == F.get("around", i),
         )
     )
     # As an aggregate the comparison stays above the join, which then runs in the generated code of the windows.

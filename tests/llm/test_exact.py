@@ -10,8 +10,8 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from hazelake.llm import fm_index, simhash_dedup, substring_dedup, token_shards
-from hazelake.llm.decontamination import decontaminated
+from hazelake.llm import decontamination, fm_index, simhash_dedup, substring_dedup, token_shards
+from hazelake.llm.decontamination import contamination, decontaminated, overlaps
 from hazelake.llm.language_id import accepted
 from hazelake.llm.mixing import mixed
 from hazelake.llm.token_counts import token_counts
@@ -175,6 +175,35 @@ def test_stages_keep_columns_of_any_name(spark):
         assert found and set(found) <= set(rows)
 
 
+@pytest.mark.parametrize("run", [1, 5, 256])
+def test_overlaps_do_not_depend_on_runs(spark, frame, monkeypatch, run):
+    pick = np.random.default_rng(7)
+    items = [[f"i{n}w{k}" for k in range(n)] for n in (3, 8, 11, 12, 13, 30, 60)]
+    rows = []
+    for i in range(80):
+        words = [f"x{pick.integers(40)}" for _ in range(int(pick.integers(1, 700)))]
+        for item in (items[k] for k in pick.choice(len(items), 2)):
+            at, some = int(pick.integers(len(words) + 1)), item[: int(pick.integers(len(item) // 2, len(item) + 1))]
+            if some and i % 3 == 0:
+                some[int(pick.integers(len(some)))] = "other"
+            words[at:at] = some
+        rows.append((i, " ".join(words)))
+    benchmark = spark.createDataFrame([(len(x), " ".join(x)) for x in items], "item_id long, text string")
+    monkeypatch.setattr(decontamination, "RUN", 1 << 20)
+    wanted = sorted(tuple(r) for r in overlaps(frame(rows), benchmark).collect())
+    monkeypatch.setattr(decontamination, "RUN", run)
+    assert sorted(tuple(r) for r in overlaps(frame(rows), benchmark).collect()) == wanted
+    assert {i for _, i in wanted} == {len(x) for x in items} and 40 < len(wanted) < 160
+
+
+def test_a_long_document_full_of_hits(spark, frame):
+    """A hit has the words around it with it: with the whole document each, these would be over 20 GB in one task."""
+    item = " ".join(f"w{i}" for i in range(40))
+    benchmark = spark.createDataFrame([(7, item), (8, "nothing of the kind stands anywhere")], "item_id long, text string")
+    found = contamination(frame([(1, f"{item} " * 750), (2, "a b c")]), benchmark)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, True, 1, 7), (2, False, 0, None)]
+
+
 def plain_substring_dedup(rows):
     seen, out = {}, {}
     for doc_id, text in sorted(rows, key=lambda r: r[0]):
