@@ -129,6 +129,14 @@ def pieces_of(column, most: int = 1 << 20):
 BROADCAST_ROWS = 1_000_000
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` marked to be shuffled and sorted in a join, whatever its size is taken to be.
+
+    Spark takes it from the bytes of compressed files, and the rows a Python function returns to be as many as it gets.
+    """
+    return df.hint("merge")
+
+
 def hinted(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a count shows that it is small; else as it is, to be shuffled."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    """``df`` marked for broadcast if a count shows that it is small; else to be shuffled."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else shuffled(df)

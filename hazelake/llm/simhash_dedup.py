@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazelake.llm.common import checkpointed, hinted, on_plain_names, only, sliced, staged
+from hazelake.llm.common import checkpointed, hinted, on_plain_names, only, shuffled, sliced, staged
 from hazelake.llm.components import components
 
 #: Words of a shingle, and differing bits of linked fingerprints.
@@ -120,7 +120,8 @@ def links(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         return rows.withColumnRenamed("bits", name)
 
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
-    pairs = at_anchors(0, "a").join(at_anchors(threshold, "b"), "anchor")
+    # Spark takes the visitors to be as few as the homes, and would broadcast them.
+    pairs = at_anchors(0, "a").join(shuffled(at_anchors(threshold, "b")), "anchor")
     return pairs.where(near & (F.col("a") < F.col("b"))).select("a", "b")
 
 
@@ -168,7 +169,7 @@ def _fingerprinted(docs: DataFrame) -> DataFrame:
 def _one_per_group(docs: DataFrame, threshold: int) -> DataFrame:
     marked = staged(_marked(docs), "fingerprints")
     groups = staged(_grouped(marked, threshold), "groups")
-    of_rows = marked.where("doc_id is not null").join(groups, "bits")
+    of_rows = shuffled(marked.where("doc_id is not null")).join(shuffled(groups), "bits")
     ids = of_rows.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows"), F.max(F.col("component_id") == F.col("doc_id")).alias("first")
     )

@@ -11,6 +11,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from hazelake.llm import decontamination, fm_index, simhash_dedup, substring_dedup, token_shards
+from hazelake.llm.common import hinted
 from hazelake.llm.decontamination import contamination, decontaminated, overlaps
 from hazelake.llm.language_id import accepted
 from hazelake.llm.mixing import mixed
@@ -131,6 +132,18 @@ def test_anchors_meet_all_close_fingerprints(spark):
         simhash_dedup.links(classes, 3)
 
 
+def test_visitors_of_anchors_are_never_broadcast(spark, plan_of):
+    """However few bytes Spark takes the fingerprints for: each of them visits thousands of anchors."""
+    pairs = plan_of(simhash_dedup.links(spark.range(1000).toDF("bits")))
+    assert "SortMergeJoin" in pairs and "Broadcast" not in pairs
+
+
+def test_sides_that_are_too_long_to_broadcast_are_shuffled(spark, plan_of):
+    few, many = spark.range(5), spark.range(50)
+    assert "BroadcastHashJoin" in plan_of(many.join(hinted(few, 5), "id"))
+    assert "SortMergeJoin" in plan_of(many.join(hinted(few, 4), "id"))
+
+
 def test_one_text_of_each_group_stays(frame):
     rows = [(1, None), (2, ""), (4, "q w e"), (4, "q w e"), (None, "Q w e"), (5, "a b"), (None, "x y z"), (None, "X y\nz")]
     kept = simhash_dedup.one_per_group(frame(rows))
