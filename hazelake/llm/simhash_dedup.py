@@ -149,7 +149,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     never the smallest of a component, unless there is no other.
     """
     marked = staged(_marked(docs), "fingerprints")
-    return marked.join(_grouped(marked, threshold), "bits").select(
+    return shuffled(marked).join(_grouped(marked, threshold), "bits").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

@@ -132,10 +132,12 @@ def test_anchors_meet_all_close_fingerprints(spark):
         simhash_dedup.links(classes, 3)
 
 
-def test_visitors_of_anchors_are_never_broadcast(spark, plan_of):
+def test_visitors_of_anchors_are_never_broadcast(spark, documents, plan_of):
     """However few bytes Spark takes the fingerprints for: each of them visits thousands of anchors."""
     pairs = plan_of(simhash_dedup.links(spark.range(1000).toDF("bits")))
     assert "SortMergeJoin" in pairs and "Broadcast" not in pairs
+    last = re.search(r"\w+Join", plan_of(simhash_dedup.near_duplicates(documents)))
+    assert last[0] == "SortMergeJoin"
 
 
 def test_sides_that_are_too_long_to_broadcast_are_shuffled(spark, plan_of):
